@@ -47,6 +47,12 @@ UNITS_AFTER_MARKER = 2
 SAMPLES_AFTER_MARKER = 3
 COUNTER_HEADERS = ["NO.", "Number"]
 TIME_HEADERS = ["time", "時間"]
+BLANK_HEADER = "Unnamed"
+TEMPERATURE_UNITS = ["degc"]
+HUMIDITY_UNITS = ["%", "rh"]
+UV_UNITS = ["w/m2"]
+LUX_UNITS = ["lux"]
+FIRST_REPEAT = ".1"
 
 # File names. The folder is searched for `<prefix>YYMM….xlsx`.
 WORKBOOK_PREFIX = "*RAWDATA_"

@@ -6,15 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from barograph import fixed
-from barograph.functions.calendar import nearest_second
 from barograph.schema import CHANNEL
 
-# A Spark cast is laxer than the number syntax wanted here ("12d" would pass).
-NUMBER = r"^\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
-
-CLOCK = r"([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d{1,9})?)?)?"
-YEAR_FIRST = rf"^(\d{{4}})[-/.](\d{{1,2}})[-/.](\d{{1,2}}){CLOCK}$"
-YEAR_LAST = rf"^(\d{{1,2}})[-/.](\d{{1,2}})[-/.](\d{{4}}){CLOCK}$"
+# A Spark cast alone is too lax: it takes "12d", "inf" and times with a zone. These guards
+# are kept simple, as they run on every cell of a load.
+NUMBER_CHARACTERS = r"^[0-9eE+.\s-]+$"
+CLOCK = r"([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?"
+YEAR_FIRST = rf"^\d{{4}}[-/]\d{{1,2}}[-/]\d{{1,2}}{CLOCK}$"
+YEAR_LAST = rf"^(\d{{1,2}})[-/](\d{{1,2}})[-/](\d{{4}}){CLOCK}$"
+NEARER_TO_NEXT_SECOND = r"\.[5-9]\d*$"
 
 
 def present(cell: Column) -> Column:
@@ -24,7 +24,7 @@ def present(cell: Column) -> Column:
 
 def number(text: Column) -> Column:
     """DOUBLE, or NULL where the text is not a plain decimal number."""
-    return F.when(text.rlike(NUMBER), F.replace(F.trim(text), F.lit("_"), F.lit("")).try_cast("double"))
+    return F.when(text.rlike(NUMBER_CHARACTERS), text.try_cast("double"))
 
 
 def channel_value(value: Column) -> Column:
@@ -35,17 +35,18 @@ def channel_value(value: Column) -> Column:
 def sample_time(text: Column) -> Column:
     """TIMESTAMP_NTZ at the nearest second, or NULL where the text is not a time.
 
-    Year-first dates with ``-``, ``/`` or ``.``; year-last dates are month first unless
-    that is no month. The clock and its seconds may be left out.
+    Year-first dates with ``-`` or ``/``; year-last dates are month first unless that is no
+    month. The clock and its seconds may be left out.
     """
     trimmed = F.trim(text)
+    to_second = F.substring_index(trimmed, ".", 1)
 
-    def rearranged(pattern: str, order: str) -> Column:
-        return F.regexp_replace(trimmed, pattern, order).try_cast("timestamp_ntz")
+    def year_last(order: str) -> Column:
+        return F.regexp_replace(to_second, YEAR_LAST, order).try_cast("timestamp_ntz")
 
-    return nearest_second(
-        F.when(trimmed.rlike(YEAR_FIRST), rearranged(YEAR_FIRST, "$1-$2-$3$4")).when(
-            trimmed.rlike(YEAR_LAST),
-            F.coalesce(rearranged(YEAR_LAST, "$3-$1-$2$4"), rearranged(YEAR_LAST, "$3-$2-$1$4")),
-        )
+    time = F.when(
+        trimmed.rlike(YEAR_FIRST), F.translate(to_second, "/", "-").try_cast("timestamp_ntz")
+    ).when(trimmed.rlike(YEAR_LAST), F.coalesce(year_last("$3-$1-$2$4"), year_last("$3-$2-$1$4")))
+    return time + F.when(trimmed.rlike(NEARER_TO_NEXT_SECOND), F.expr("INTERVAL '1' SECOND")).otherwise(
+        F.expr("INTERVAL '0' SECOND")
     )

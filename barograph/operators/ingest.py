@@ -13,60 +13,83 @@ from pyspark.sql import functions as F
 
 from barograph import fixed
 from barograph.functions.cells import channel_value, number, present, sample_time
-from barograph.schema import CHANNELS
+from barograph.schema import CHANNELS, UNREADABLE
 from barograph.sources.filenames import file_year_month
 
 ACCEPTED = "accepted"
 BLANK_TIME = "blank time"
 BAD_TIME = "time not readable"
-BAD_CHANNEL = "channel not a number"
-OUT_OF_RANGE = "channel out of range"
+BAD_CHANNEL = "channel not a number in range"
 
 POSITIONS = [f"ch{i}_pos" for i in range(1, len(CHANNELS) + 1)]
 
 
-def data_region(raw_rows: DataFrame) -> DataFrame:
-    """Marker row, unit row and first sample row per file that has a marker."""
-    markers = (
-        raw_rows.where(F.col("lead") == fixed.DATA_MARKER)
-        .groupBy("file")
-        .agg(F.min("sheet_row").alias("marker_row"))
+def sheet_tops(raw_rows: DataFrame) -> DataFrame:
+    """Per file: marker row, unit row and first sample row, NULL without a marker, and the
+    error of a workbook that could not be read. One pass over the narrow columns."""
+    lead, row = F.col("lead"), F.col("sheet_row")
+    tops = raw_rows.groupBy("file").agg(
+        F.min(F.when(lead == fixed.DATA_MARKER, row)).alias("marker_row"),
+        F.max(F.when(row == UNREADABLE, lead)).alias("error"),
     )
-    return markers.select(
+    return tops.select(
         "file",
         "marker_row",
         (F.col("marker_row") + fixed.UNITS_AFTER_MARKER).alias("unit_row"),
         (F.col("marker_row") + fixed.SAMPLES_AFTER_MARKER).alias("first_sample_row"),
+        "error",
     )
 
 
-def column_names(cells: Column) -> Column:
-    """Names of the columns under a header row, as pandas would give them.
-
-    A blank header becomes `Unnamed: <position>`; the k-th repeat of a name takes the k-th
-    suffix `.1`, `.2`, … that no header already spells out. Worked out inside the row, as
-    a header row holds some tens of cells and needs no shuffle.
-    """
-    texts = F.transform(
-        cells,
-        lambda c, i: F.when(F.coalesce(c, F.lit("")) != "", c).otherwise(F.concat(F.lit("Unnamed: "), i)),
-    )
-
-    def suffixed(name: Column, suffix: Column) -> Column:
-        return F.concat(name, F.lit("."), suffix.cast("string"))
-
-    def unique(name: Column, position: Column) -> Column:
-        earlier = F.size(F.filter(F.slice(texts, F.lit(1), position), lambda n: n == name))
-        suffixes = F.filter(
-            F.sequence(F.lit(1), F.size(texts) * 2),
-            lambda s: ~F.array_contains(texts, suffixed(name, s)),
-        )
-        return F.when(earlier == 0, name).otherwise(suffixed(name, F.get(suffixes, earlier - 1)))
-
-    return F.transform(texts, unique)
-
-
-def header_roles(raw_rows: DataFrame, region: DataFrame) -> DataFrame:
+def data_region(raw_rows: DataFrame) -> DataFrame:
+    """Marker row, unit row and first sample row per file that has a marker."""
+    return sheet_tops(raw_rows).where(F.col("marker_row").isNotNull()).drop("error")
+
+
+# Names of the columns under a header row, as pandas would give them: a blank header becomes
+# `Unnamed: <position>`, and the k-th repeat of a name takes the k-th suffix `.1`, `.2`, … that
+# no header already spells out. Worked out inside the row: a header row holds some tens of cells.
+HEADER_TEXTS = f"transform(cells, (c, i) -> coalesce(nullif(c, ''), concat('{fixed.BLANK_HEADER}: ', i))) AS texts"
+HEADER_NAMES = """
+transform(texts, (t, i) ->
+  CASE WHEN array_contains(slice(texts, 1, i), t)
+       THEN concat(t, '.', get(
+         filter(sequence(1, 2 * size(texts)), s -> NOT array_contains(texts, concat(t, '.', s))),
+         size(filter(slice(texts, 1, i), earlier -> earlier = t)) - 1))
+       ELSE t END) AS names"""
+
+
+def names_one_of(words: list[str]) -> str:
+    return "(" + " OR ".join(f"contains(lower(name), '{word}')" for word in words) + ")"
+
+
+IS_REPEAT = f"contains(name, '{fixed.FIRST_REPEAT}')"
+BARE_NAME = r"trim(BOTH ' \t\r\n' FROM name)"
+COUNTERS = ", ".join(f"'{name}'" for name in fixed.COUNTER_HEADERS)
+KIND = f"""
+CASE WHEN {names_one_of(fixed.TIME_HEADERS)} THEN 'time'
+     WHEN {BARE_NAME} IN ({COUNTERS}) OR startswith({BARE_NAME}, '{fixed.BLANK_HEADER}') THEN 'none'
+     WHEN {names_one_of(fixed.TEMPERATURE_UNITS)} THEN 'temperature'
+     ELSE 'other' END AS kind"""
+FIRST_TEMPERATURE = f"min(if(kind = 'temperature' AND NOT {IS_REPEAT}, pos, NULL)) OVER (PARTITION BY file) AS first"
+TEMPERATURES = "count_if(kind = 'temperature') OVER (PARTITION BY file) AS temperatures"
+REPEATED_TEMPERATURE = [unit + fixed.FIRST_REPEAT for unit in fixed.TEMPERATURE_UNITS]
+# Position of a column in the result: 0 is the time, 1 to 5 are the channels.
+ROLE = f"""
+CASE kind
+  WHEN 'none' THEN NULL
+  WHEN 'time' THEN 0
+  ELSE coalesce(
+    if(pos = first, 1, NULL),
+    if({names_one_of(fixed.HUMIDITY_UNITS)}, 2, NULL),
+    if({names_one_of(fixed.UV_UNITS)} AND NOT {IS_REPEAT}, 3, NULL),
+    if({names_one_of(fixed.LUX_UNITS)}, 4, NULL),
+    if({names_one_of(REPEATED_TEMPERATURE)}, 5, NULL),
+    if(kind = 'temperature' AND temperatures >= 2 AND pos > first, 5, NULL))
+END AS role"""
+
+
+def header_roles(raw_rows: DataFrame, tops: DataFrame) -> DataFrame:
     """Zero-based positions of the time column and of channels 1 to 5 per file.
 
     Time: the last column that names a time. Channel 1: the first temperature without a
@@ -75,75 +98,27 @@ def header_roles(raw_rows: DataFrame, region: DataFrame) -> DataFrame:
     or a further one after channel 1.
     """
     unit_rows = raw_rows.join(
-        region.select("file", F.col("unit_row").alias("sheet_row")), ["file", "sheet_row"]
-    )
-    named = unit_rows.select("file", column_names(F.col("cells")).alias("names"))
-
-    def lowered(e: Column) -> Column:
-        return F.lower(e["name"])
-
-    def is_time(e: Column) -> Column:
-        hit = F.lit(False)
-        for word in fixed.TIME_HEADERS:
-            hit = hit | lowered(e).contains(word)
-        return hit
-
-    def is_data(e: Column) -> Column:
-        name = F.trim(e["name"])
-        return ~is_time(e) & ~name.isin(fixed.COUNTER_HEADERS) & ~name.startswith("Unnamed")
-
-    def is_temperature(e: Column) -> Column:
-        return lowered(e).contains("degc")
-
-    def first_repeat(e: Column) -> Column:
-        return e["name"].contains(".1")
-
-    def positions(entries: Column, test) -> Column:
-        return F.transform(F.filter(entries, test), lambda e: e["pos"])
-
-    numbered = F.transform("names", lambda n, i: F.struct(i.alias("pos"), n.alias("name")))
-    entries = named.select("file", numbered.alias("all"))
-    sorted_out = entries.select(
-        "file",
-        F.array_max(positions(F.col("all"), is_time)).alias("time_pos"),
-        F.filter("all", is_data).alias("data"),
+        tops.select("file", F.col("unit_row").alias("sheet_row")), ["file", "sheet_row"]
     )
-    first_temperature = sorted_out.select(
-        "*",
-        F.array_min(positions(F.col("data"), lambda e: is_temperature(e) & ~first_repeat(e))).alias("ch1_pos"),
-        F.size(F.filter("data", is_temperature)).alias("temperatures"),
-    )
-
-    def role(e: Column) -> Column:
-        after_first = F.coalesce(e["pos"] > F.col("ch1_pos"), F.lit(False))
-        return (
-            F.when(e["pos"].eqNullSafe(F.col("ch1_pos")), 1)
-            .when(e["name"].contains("%") | lowered(e).contains("rh"), 2)
-            .when(lowered(e).contains("w/m2") & ~first_repeat(e), 3)
-            .when(lowered(e).contains("lux"), 4)
-            .when(lowered(e).contains("degc.1"), 5)
-            .when((F.col("temperatures") >= 2) & is_temperature(e) & after_first, 5)
-        )
-
-    def last_with(wanted: int) -> Column:
-        return F.array_max(positions(F.col("data"), lambda e: role(e) == wanted))
-
-    return first_temperature.select(
-        "file",
-        "time_pos",
-        "ch1_pos",
-        *[last_with(i).alias(f"ch{i}_pos") for i in range(2, len(CHANNELS) + 1)],
+    headers = (
+        unit_rows.selectExpr("file", HEADER_TEXTS)
+        .selectExpr("file", HEADER_NAMES)
+        .selectExpr("file", "posexplode(names) AS (pos, name)")
+        .selectExpr("*", KIND)
     )
+    # The window and the aggregate share one shuffle of a few rows per file.
+    placed = headers.selectExpr("*", FIRST_TEMPERATURE, TEMPERATURES)
+    positions = [
+        f"max(pos) FILTER (WHERE role = {role}) AS {name}" for role, name in enumerate(["time_pos", *POSITIONS])
+    ]
+    roles = placed.selectExpr("file", "pos", ROLE).groupBy("file")
+    return roles.agg(*[F.expr(position) for position in positions])
 
 
-def sheet_layouts(
-    files: DataFrame, region: DataFrame, roles: DataFrame, unreadable: DataFrame, strict: bool = False
-) -> DataFrame:
+def sheet_layouts(tops: DataFrame, roles: DataFrame, strict: bool = False) -> DataFrame:
     """Per file: its month, where its samples start, where its channels are, and the reason
     why it cannot be read, if any."""
-    known = file_year_month(files.select("file"), strict)
-    for found in (unreadable, region, roles):
-        known = known.join(found, "file", "left")
+    known = file_year_month(tops, strict).join(roles, "file", "left")
     problem = F.coalesce(
         "name_problem",
         "error",
@@ -175,33 +150,23 @@ def classify_samples(raw_rows: DataFrame, layouts: DataFrame) -> DataFrame:
         cell("time_pos").alias("time_text"),
         *[cell(p).alias(f"{c}_text") for c, p in zip(CHANNELS, POSITIONS, strict=True)],
     )
-    numbers = texts.select(
-        "*",
+    # Decoded inside a generator: a filter on the outcome would otherwise be pushed below
+    # and decode every cell a second time.
+    decoded = F.struct(
         sample_time(F.col("time_text")).alias("record_time"),
-        *[number(F.col(f"{c}_text")).alias(f"{c}_number") for c in CHANNELS],
+        *[channel_value(number(F.col(f"{c}_text"))).alias(c) for c in CHANNELS],
     )
-    not_number = out_of_range = F.lit(False)
+    values = texts.select("*", F.inline(F.array(decoded)))
+    bad_channel = F.lit(False)
     for c in CHANNELS:
-        not_number = not_number | (F.col(f"{c}_text").isNotNull() & F.col(f"{c}_number").isNull())
-        out_of_range = out_of_range | (
-            F.col(f"{c}_number").isNotNull() & channel_value(F.col(f"{c}_number")).isNull()
-        )
+        bad_channel = bad_channel | (F.col(f"{c}_text").isNotNull() & F.col(c).isNull())
     outcome = (
         F.when(F.col("time_text").isNull(), BLANK_TIME)
         .when(F.col("record_time").isNull(), BAD_TIME)
-        .when(not_number, BAD_CHANNEL)
-        .when(out_of_range, OUT_OF_RANGE)
+        .when(bad_channel, BAD_CHANNEL)
         .otherwise(ACCEPTED)
     )
-    return numbers.select(
-        "file",
-        "sheet_row",
-        "year",
-        "month",
-        "record_time",
-        *[channel_value(F.col(f"{c}_number")).alias(c) for c in CHANNELS],
-        outcome.alias("outcome"),
-    )
+    return values.select("file", "sheet_row", "year", "month", "record_time", *CHANNELS, outcome.alias("outcome"))
 
 
 def decode_samples(classified: DataFrame) -> DataFrame:

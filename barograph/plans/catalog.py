@@ -17,7 +17,6 @@ from barograph.sources.events import (
     readings_from_events,
 )
 from barograph.sources.filenames import file_year_month
-from barograph.sources.workbooks import unreadable_files
 
 YEAR, MONTH = 2024, 1
 
@@ -84,10 +83,8 @@ def comparable(result: DataFrame) -> DataFrame:
 def staged_layouts(spark: SparkSession, raw_rows: DataFrame) -> DataFrame:
     """One row per file, staged as in an import, so that the joins know its size."""
     area = WorkArea(spark)
-    region = area.stage(ingest.data_region(raw_rows), "region")
-    roles = area.stage(ingest.header_roles(raw_rows, region), "roles")
-    files = region.select("file")
-    return area.stage(ingest.sheet_layouts(files, region, roles, unreadable_files(raw_rows)), "layouts")
+    tops = area.stage(ingest.sheet_tops(raw_rows), "tops")
+    return area.stage(ingest.sheet_layouts(tops, ingest.header_roles(raw_rows, tops)), "layouts")
 
 
 def classified_samples(spark: SparkSession, raw_rows: DataFrame) -> DataFrame:
@@ -100,8 +97,8 @@ def data_region(spark: SparkSession, readings: DataFrame) -> DataFrame:
 
 def header_roles(spark: SparkSession, readings: DataFrame) -> DataFrame:
     raw_rows = raw_rows_from_readings(spark, readings)
-    region = WorkArea(spark).stage(ingest.data_region(raw_rows), "region")
-    return ingest.header_roles(raw_rows, region)
+    tops = WorkArea(spark).stage(ingest.sheet_tops(raw_rows), "tops")
+    return ingest.header_roles(raw_rows, tops)
 
 
 def decode_samples(spark: SparkSession, readings: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from barograph.operators import daily, ingest, loading
 from barograph.schema import MONTH_KEYS
 from barograph.session import WorkArea, work_area
 from barograph.sources.tables import SensorTables
-from barograph.sources.workbooks import list_workbooks, scan_workbooks, unreadable_files, workbook_glob
+from barograph.sources.workbooks import list_workbooks, scan_workbooks, workbook_glob
 
 MODES = ("append", "skip_existing", "dedupe", "replace", "rebuild")
 MONTH_LIMIT = 9_900
@@ -21,15 +21,13 @@ def read_samples(area: WorkArea, raw_rows: DataFrame, strict: bool = False) -> t
     """(layouts, classified samples) of worksheet rows, both staged.
 
     The rows are written once, since every workbook is costly to open and they are read
-    several times: the marker search reads one narrow column, the unit rows come from a
-    join on one row per file, and only the decoding reads the samples whole.
+    several times: the marker search reads the flat columns, the unit rows come from a join
+    on one row per file, and only the decoding reads the samples whole.
     """
     staged = area.stage(raw_rows, "raw_rows")
-    files = area.stage(staged.select("file").distinct(), "files")
-    unreadable = area.stage(unreadable_files(staged), "unreadable")
-    region = area.stage(ingest.data_region(staged), "region")
-    roles = area.stage(ingest.header_roles(staged, region), "roles")
-    layouts = area.stage(ingest.sheet_layouts(files, region, roles, unreadable, strict), "layouts")
+    tops = area.stage(ingest.sheet_tops(staged), "tops")
+    roles = ingest.header_roles(staged, tops)
+    layouts = area.stage(ingest.sheet_layouts(tops, roles, strict), "layouts")
     return layouts, area.stage(ingest.classify_samples(staged, layouts), "classified")
 
 

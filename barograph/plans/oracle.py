@@ -306,7 +306,7 @@ BODIES = {
     "header_roles": f"SELECT {FILE}, * EXCLUDE (month, marker) FROM {IN_FILES}",
     "decode_samples": f"""SELECT {FILE}, CAST(marker + 2 + id AS BIGINT) AS sheet_row, year, month, record_time, {channels()}
         FROM readings JOIN {LAYOUTS} USING (month) WHERE {GOOD}""",
-    "rejects": f"""SELECT {FILE}, CAST(marker + 2 + id AS BIGINT) AS sheet_row, 'channel not a number' AS reason
+    "rejects": f"""SELECT {FILE}, CAST(marker + 2 + id AS BIGINT) AS sheet_row, 'channel not a number in range' AS reason
         FROM readings JOIN {LAYOUTS} USING (month) WHERE id % 101 = 0 AND id % 103 <> 0""",
     "import_summary": f"""SELECT {FILE}, year, month, count(*) FILTER ({GOOD}) AS parsed,
         count(*) FILTER (id % 101 = 0 AND id % 103 <> 0) AS rejected, count(*) FILTER (id % 103 = 0) AS blank,

@@ -58,7 +58,9 @@ DAILY = T.StructType(
 )
 
 # One row per worksheet row. `lead` repeats the first cell so that the search for the
-# data marker reads one flat column, which Parquet statistics can also prune.
+# data marker reads flat columns only. A workbook that cannot be read has a row numbered
+# UNREADABLE with the error as its `lead`.
+UNREADABLE = -1
 RAW_ROWS = T.StructType(
     [
         T.StructField("file", T.StringType()),

@@ -32,16 +32,22 @@ class SensorTables:
                 raise
             return self.spark.createDataFrame([], LEDGER)
 
-    def _enter(self, table: str, version: int, last_id: int) -> None:
-        entries = self._ledger().agg(F.coalesce(F.max("entry"), F.lit(0)).alias("n")).first()["n"]
+    def _state(self, table: str) -> tuple[int, int, int]:
+        """Current version and highest id handed out, 0 and 0 for a table never created, and
+        the number of ledger entries."""
+        of_table = F.when(F.col("table") == table, F.struct("version", "last_id"))
+        row = self._ledger().agg(
+            F.max_by(of_table, F.when(F.col("table") == table, F.col("entry"))).alias("state"),
+            F.coalesce(F.max("entry"), F.lit(0)).alias("entries"),
+        ).first()
+        return (*(row["state"] or (0, 0)), row["entries"])
+
+    def _enter(self, table: str, version: int, last_id: int, entries: int) -> None:
         row = self.spark.createDataFrame([(entries + 1, table, version, last_id)], LEDGER)
         row.coalesce(1).write.mode("append").json(f"{self.root}/ledger")
 
-    def _latest(self, table: str) -> tuple[int, int]:
-        """Current version and highest id handed out; (0, 0) for a table never created."""
-        state = F.max_by(F.struct("version", "last_id"), "entry").alias("state")
-        row = self._ledger().where(F.col("table") == table).agg(state).first()
-        return tuple(row["state"]) if row["state"] else (0, 0)
+    def _current_path(self, table: str) -> str:
+        return self._path(table, self._state(table)[0])
 
     def _path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v{version:06d}"
@@ -50,39 +56,38 @@ class SensorTables:
 
     def create(self) -> None:
         """Create the tables that do not exist yet, empty."""
-        if self._latest("readings")[0] == 0:
+        if self._state("readings")[0] == 0:
             self.replace_readings(self.spark.createDataFrame([], READINGS))
-        if self._latest("daily_statistics")[0] == 0:
+        if self._state("daily_statistics")[0] == 0:
             self.replace_daily(self.spark.createDataFrame([], DAILY))
 
     def readings(self) -> DataFrame:
-        path = self._path("readings", self._latest("readings")[0])
-        return as_readings(self.spark.read.schema(READINGS).parquet(path))
+        return as_readings(self.spark.read.schema(READINGS).parquet(self._current_path("readings")))
 
     def reserve_ids(self, count: int) -> int:
         """The id before the first of `count` new ones; a failed load leaves a gap."""
-        version, last_id = self._latest("readings")
-        self._enter("readings", version, last_id + count)
+        version, last_id, entries = self._state("readings")
+        self._enter("readings", version, last_id + count, entries)
         return last_id
 
     def append_readings(self, readings: DataFrame) -> None:
-        self._write_months(readings, self._latest("readings")[0], "append")
+        self._write_months(readings, self._current_path("readings"), "append")
 
     def replace_months(self, readings: DataFrame) -> None:
         """Overwrite the file months that occur in `readings` and no others."""
-        self._write_months(readings, self._latest("readings")[0], "overwrite")
+        self._write_months(readings, self._current_path("readings"), "overwrite")
 
     def replace_readings(self, readings: DataFrame, last_id: int = 0) -> None:
         """Make `readings`, numbered up to ``last_id``, the whole table."""
-        version = self._latest("readings")[0] + 1
-        self._write_months(readings, version, "overwrite")
-        self._enter("readings", version, last_id)
+        version, _, entries = self._state("readings")
+        self._write_months(readings, self._path("readings", version + 1), "overwrite")
+        self._enter("readings", version + 1, last_id, entries)
 
     def clear(self) -> None:
         """Empty the readings, keep their structure; ids start over, daily statistics stay."""
         self.replace_readings(self.spark.createDataFrame([], READINGS))
 
-    def _write_months(self, readings: DataFrame, version: int, mode: str) -> None:
+    def _write_months(self, readings: DataFrame, path: str, mode: str) -> None:
         """Files of one month each, sorted by time.
 
         Rebalancing gathers the rows of a small month into one file and splits those of a
@@ -96,29 +101,28 @@ class SensorTables:
             .write.mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*MONTH_KEYS)
-            .parquet(self._path("readings", version))
+            .parquet(path)
         )
 
     # Daily statistics
 
     def daily_statistics(self) -> DataFrame:
-        path = self._path("daily_statistics", self._latest("daily_statistics")[0])
-        return self.spark.read.schema(DAILY).parquet(path)
+        return self.spark.read.schema(DAILY).parquet(self._current_path("daily_statistics"))
 
     def replace_daily(self, daily: DataFrame) -> None:
-        version, last_id = self._latest("daily_statistics")
+        version, _, entries = self._state("daily_statistics")
         daily.write.mode("overwrite").parquet(self._path("daily_statistics", version + 1))
-        self._enter("daily_statistics", version + 1, last_id)
+        self._enter("daily_statistics", version + 1, 0, entries)
 
     # Import reports
 
     def record_import(self, summary: DataFrame, rejects: DataFrame) -> int:
         """Keep what an import did with each file and the rows it refused; returns its number."""
-        number = self._latest("imports")[0] + 1
-        summary.write.mode("overwrite").parquet(self._path("imports", number))
-        rejects.write.mode("overwrite").parquet(self._path("rejects", number))
-        self._enter("imports", number, 0)
-        return number
+        version, _, entries = self._state("imports")
+        summary.write.mode("overwrite").parquet(self._path("imports", version + 1))
+        rejects.write.mode("overwrite").parquet(self._path("rejects", version + 1))
+        self._enter("imports", version + 1, 0, entries)
+        return version + 1
 
     def import_summary(self, number: int) -> DataFrame:
         return self.spark.read.parquet(self._path("imports", number))

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from barograph import fixed
-from barograph.schema import RAW_ROWS
+from barograph.schema import RAW_ROWS, UNREADABLE
 from barograph.sources.filenames import base_name
 from barograph.sources.xlsx import first_sheet_rows
 
 ROWS_PER_BATCH = 8192
-UNREADABLE = -1
 SOURCE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -65,10 +64,10 @@ def raw_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         yield batch(rows)
                         rows = []
             except Exception as error:
-                rows.append((file, UNREADABLE, None, [f"{type(error).__name__}: {error}"]))
+                rows.append((file, UNREADABLE, f"{type(error).__name__}: {error}", None))
                 empty = False
             if empty:
-                rows.append((file, UNREADABLE, None, ["worksheet without rows"]))
+                rows.append((file, UNREADABLE, "worksheet without rows", None))
             if rows:
                 yield batch(rows)
 
@@ -86,9 +85,3 @@ def scan_workbooks(spark: SparkSession, paths: str | list[str], pattern: str | N
     if isinstance(paths, str):
         reader = reader.option("pathGlobFilter", pattern or workbook_glob())
     return scan_files(reader.load(paths))
-
-
-def unreadable_files(raw_rows: DataFrame) -> DataFrame:
-    """`file` and `error` of the workbooks that could not be read."""
-    bad = raw_rows.where(F.col("sheet_row") == UNREADABLE)
-    return bad.select("file", F.get("cells", F.lit(0)).alias("error"))

@@ -36,7 +36,7 @@ def relations(archive: zipfile.ZipFile, part: str) -> dict[str, tuple[str, str]]
     """Relation id -> (kind, part name) of the relations of a part."""
     folder, name = posixpath.split(part)
     found = {}
-    for e in children(parse(archive, f"{folder}/_rels/{name}.rels"), "Relationship"):
+    for e in children(parse(archive, posixpath.join(folder, "_rels", f"{name}.rels")), "Relationship"):
         target = e.get("Target", "")
         target = target[1:] if target.startswith("/") else posixpath.normpath(posixpath.join(folder, target))
         found[e.get("Id")] = (posixpath.basename(e.get("Type", "")), target)
