@@ -100,10 +100,12 @@ def header_roles(raw_rows: DataFrame, tops: DataFrame) -> DataFrame:
     unit_rows = raw_rows.join(
         tops.select("file", F.col("unit_row").alias("sheet_row")), ["file", "sheet_row"]
     )
+    # The outer form keeps Catalyst from inferring a filter on the names, which it would push
+    # below the join and so name the columns of every sample row.
     headers = (
         unit_rows.selectExpr("file", HEADER_TEXTS)
         .selectExpr("file", HEADER_NAMES)
-        .selectExpr("file", "posexplode(names) AS (pos, name)")
+        .selectExpr("file", "posexplode_outer(names) AS (pos, name)")
         .selectExpr("*", KIND)
     )
     # The window and the aggregate share one shuffle of a few rows per file.

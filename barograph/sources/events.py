@@ -92,9 +92,9 @@ def raw_rows_from_readings(spark: SparkSession, readings: DataFrame) -> DataFram
     tops = []
     for month, (marker, units, _) in LAYOUTS.items():
         names = ["Number", "Date&Time", *[f"CH{i}" for i in range(1, len(units) - 1)]]
-        tops.append((month, 0, ["Model"]))
-        tops += [(month, marker, ["Data"]), (month, marker + 1, names), (month, marker + 2, units)]
-    top = spark.createDataFrame(tops, "month int, sheet_row bigint, cells array<string>")
+        rows = {0: ["Model"], marker: ["Data"], marker + 1: names, marker + 2: units}
+        tops += [f"({month}, {row}L, array('{"', '".join(cells)}'))" for row, cells in rows.items()]
+    top = spark.sql(f"SELECT * FROM VALUES {', '.join(tops)} AS top(month, sheet_row, cells)")
     tops_of_files = readings.select("month").distinct().join(top, "month").select(
         file_name(F.col("month")).alias("file"),
         "sheet_row",

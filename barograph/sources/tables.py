@@ -43,7 +43,8 @@ class SensorTables:
         return (*(row["state"] or (0, 0)), row["entries"])
 
     def _enter(self, table: str, version: int, last_id: int, entries: int) -> None:
-        row = self.spark.createDataFrame([(entries + 1, table, version, last_id)], LEDGER)
+        values = {"entry": entries + 1, "table": table, "version": version, "last_id": last_id}
+        row = self.spark.range(1).select(*[F.lit(value).alias(name) for name, value in values.items()])
         row.coalesce(1).write.mode("append").json(f"{self.root}/ledger")
 
     def _current_path(self, table: str) -> str:
