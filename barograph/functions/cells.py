@@ -8,35 +8,40 @@ from pyspark.sql import functions as F
 from barograph import fixed
 from barograph.schema import CHANNEL
 
-# A Spark cast alone is too lax: it takes "12d", "inf" and times with a zone. These guards
-# are kept simple, as they run on every cell of a load.
+# Casts from text are lax where these guards are strict: a cast to DOUBLE takes "12d" and
+# "inf", one to TIMESTAMP_NTZ drops a time zone.
 NUMBER_CHARACTERS = r"^[0-9eE+.\s-]+$"
 CLOCK = r"([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?"
+WHOLE_SECONDS = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
 YEAR_FIRST = rf"^\d{{4}}[-/]\d{{1,2}}[-/]\d{{1,2}}{CLOCK}$"
 YEAR_LAST = rf"^(\d{{1,2}})[-/](\d{{1,2}})[-/](\d{{4}}){CLOCK}$"
 NEARER_TO_NEXT_SECOND = r"\.[5-9]\d*$"
 
+# Decimal texts of up to 15 digits are the same number read as decimal or as double.
+EXACT_LENGTH = 16
+
 
 def present(cell: Column) -> Column:
     """The cell's text, or NULL where it reads as missing."""
     return F.when(~cell.isin(fixed.MISSING_TEXTS), cell)
 
 
-def number(text: Column) -> Column:
-    """DOUBLE, or NULL where the text is not a plain decimal number."""
-    return F.when(text.rlike(NUMBER_CHARACTERS), text.try_cast("double"))
-
+def channel_value(text: Column) -> Column:
+    """Stored channel: the number as a double, rounded half up to two decimals; NULL where
+    the text is no plain decimal number or its value is out of range.
 
-def channel_value(value: Column) -> Column:
-    """Stored channel: two decimals, rounded half up; NULL when out of range."""
-    return value.try_cast(CHANNEL)
+    Short texts, that is nearly all, go straight to DECIMAL. Only the long ones that a
+    spreadsheet writes for some values (25.344999999999999) need the double in between.
+    """
+    as_double = F.when(text.rlike(NUMBER_CHARACTERS), text.try_cast("double"))
+    return F.when(F.length(text) <= EXACT_LENGTH, text.try_cast(CHANNEL)).otherwise(as_double.try_cast(CHANNEL))
 
 
 def sample_time(text: Column) -> Column:
     """TIMESTAMP_NTZ at the nearest second, or NULL where the text is not a time.
 
     Year-first dates with ``-`` or ``/``; year-last dates are month first unless that is no
-    month. The clock and its seconds may be left out.
+    month. The clock and its seconds may be left out. The logger's own form comes first.
     """
     trimmed = F.trim(text)
     to_second = F.substring_index(trimmed, ".", 1)
@@ -44,9 +49,9 @@ def sample_time(text: Column) -> Column:
     def year_last(order: str) -> Column:
         return F.regexp_replace(to_second, YEAR_LAST, order).try_cast("timestamp_ntz")
 
-    time = F.when(
+    other_form = F.when(
         trimmed.rlike(YEAR_FIRST), F.translate(to_second, "/", "-").try_cast("timestamp_ntz")
     ).when(trimmed.rlike(YEAR_LAST), F.coalesce(year_last("$3-$1-$2$4"), year_last("$3-$2-$1$4")))
-    return time + F.when(trimmed.rlike(NEARER_TO_NEXT_SECOND), F.expr("INTERVAL '1' SECOND")).otherwise(
-        F.expr("INTERVAL '0' SECOND")
-    )
+    half_second = F.when(trimmed.rlike(NEARER_TO_NEXT_SECOND), 1).otherwise(0)
+    rounded = other_form + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), half_second.cast("decimal(18,6)"))
+    return F.when(text.rlike(WHOLE_SECONDS), text.try_cast("timestamp_ntz")).otherwise(rounded)

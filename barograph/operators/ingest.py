@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barograph import fixed
-from barograph.functions.cells import channel_value, number, present, sample_time
+from barograph.functions.cells import channel_value, present, sample_time
 from barograph.schema import CHANNELS, UNREADABLE
 from barograph.sources.filenames import file_year_month
 
@@ -156,7 +156,7 @@ def classify_samples(raw_rows: DataFrame, layouts: DataFrame) -> DataFrame:
     # and decode every cell a second time.
     decoded = F.struct(
         sample_time(F.col("time_text")).alias("record_time"),
-        *[channel_value(number(F.col(f"{c}_text"))).alias(c) for c in CHANNELS],
+        *[channel_value(F.col(f"{c}_text")).alias(c) for c in CHANNELS],
     )
     values = texts.select("*", F.inline(F.array(decoded)))
     bad_channel = F.lit(False)

@@ -34,7 +34,7 @@ def readings_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("e"),
         F.col("user_id").alias("u"),
         (F.col("event_id") % 3).cast("int").alias("k"),
-        F.round(F.col("value") * 100).cast("bigint").alias("v"),
+        F.rint(F.col("value") * 100).cast("bigint").alias("v"),
         floor_second(F.col("ts")).alias("t"),
     )
 

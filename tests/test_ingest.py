@@ -110,6 +110,14 @@ SAMPLES = [
     (("2025-08-01 00:10:00", "0x1p3", "60"), (ingest.BAD_CHANNEL, NOON, None, "60.00")),
     (("2025-08-01 00:10:00", "1e12", "60"), (ingest.BAD_CHANNEL, NOON, None, "60.00")),
     (("2025-08-01 00:10:00", " -1.005 ", "+.5"), (ingest.ACCEPTED, NOON, "-1.01", "0.50")),
+    (("2025-08-01 00:10:00", "25.344999999999999", "60.004999999999995"), (ingest.ACCEPTED, NOON, "25.35", "60.00")),
+    (("2025-08-01 00:10:00", "1000000000000000000", "60"), (ingest.BAD_CHANNEL, NOON, None, "60.00")),
+    (("2025-08-01 00:10:00", "99999999.994", "-99999999.99"), (ingest.ACCEPTED, NOON, "99999999.99", "-99999999.99")),
+    (("2025-08-01 00:10:00", "99999999.995", "60"), (ingest.BAD_CHANNEL, NOON, None, "60.00")),
+    (("2025-08-01 00:10:00", "12345678901234567d", "60"), (ingest.BAD_CHANNEL, NOON, None, "60.00")),
+    (("2025-8-1 0:10:0", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    ((" 2025-08-01 00:10:00 ", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("2025/08/01 23:59:59.9", "25", "60"), (ingest.ACCEPTED, datetime(2025, 8, 2), "25.00", "60.00")),
     (("2025-08-01 00:10:00", "2.5e1", "60."), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
     (("2025-08-01T00:10", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
     (("2025-08-01 00:09:59.5", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
