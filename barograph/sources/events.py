@@ -65,7 +65,7 @@ def loaded_and_incoming(readings: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def file_name(month: Column) -> Column:
     prefix, suffix = FILE.split("{yymm}")
-    return F.concat(F.lit(prefix), F.format_string("%02d%02d", F.lit(YEAR % 100), month), F.lit(suffix))
+    return F.concat(F.lit(f"{prefix}{YEAR % 100:02d}"), F.lpad(month.cast("string"), 2, "0"), F.lit(suffix))
 
 
 def raw_rows_from_readings(spark: SparkSession, readings: DataFrame) -> DataFrame:

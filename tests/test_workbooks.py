@@ -110,4 +110,4 @@ def test_broken_off_sheet(spark, tmp_path):
 
     write_xlsx(path, [Cut([(0, ["Data"]), (1, ["x"])])])
     errors = scan_workbooks(spark, str(tmp_path)).where("sheet_row = -1").collect()
-    assert len(errors) == 1 and "ParseError" in errors[0]["lead"]
+    assert len(errors) == 1 and "ExpatError" in errors[0]["lead"]
