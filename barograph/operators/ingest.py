@@ -97,7 +97,10 @@ def header_roles(raw_rows: DataFrame, tops: DataFrame) -> DataFrame:
     passes over `.1` repeats. Channel 5: the last column that is a repeated temperature,
     or a further one after channel 1.
     """
-    unit_rows = raw_rows.join(
+    # No unit row lies below the lowest one of all files: with that bound the scan passes over
+    # nearly all samples, and their cells, before the join.
+    lowest = tops.agg(F.max("unit_row")).scalar()
+    unit_rows = raw_rows.where(F.col("sheet_row") <= lowest).join(
         tops.select("file", F.col("unit_row").alias("sheet_row")), ["file", "sheet_row"]
     )
     # The outer form keeps Catalyst from inferring a filter on the names, which it would push

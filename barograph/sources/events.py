@@ -72,20 +72,23 @@ def raw_rows_from_readings(spark: SparkSession, readings: DataFrame) -> DataFram
     """Worksheet rows of one workbook per month: preamble, marker, field names, units and
     one sample row per reading, some with a blank time or an over-range temperature."""
     broken = F.when(F.col("id") % 101 == 0, F.lit("+++++"))
-    texts = {c: F.col(c).cast("string") for c in CHANNELS}
-    texts[TEMPERATURE] = F.coalesce(broken, texts[TEMPERATURE])
-    lead = F.col("id").cast("string")
-    time = F.when(F.col("id") % 103 != 0, F.col("record_time").cast("string"))
-
+    texts = readings.select(
+        "id",
+        "month",
+        F.col("id").cast("string").alias("lead"),
+        F.when(F.col("id") % 103 != 0, F.col("record_time").cast("string")).alias("time"),
+        F.coalesce(broken, F.col(TEMPERATURE).cast("string")).alias(TEMPERATURE),
+        *[F.col(c).cast("string").alias(c) for c in CHANNELS if c != TEMPERATURE],
+    )
     cells, first_row = F.lit(None), F.lit(None)
     for month, (marker, _, channels) in LAYOUTS.items():
         here = F.col("month") == month
-        cells = F.when(here, F.array(lead, time, *[texts[c] for c in channels])).otherwise(cells)
+        cells = F.when(here, F.array("lead", "time", *channels)).otherwise(cells)
         first_row = F.when(here, marker + 2).otherwise(first_row)
-    samples = readings.select(
+    samples = texts.select(
         file_name(F.col("month")).alias("file"),
         (first_row + F.col("id")).alias("sheet_row"),
-        lead.alias("lead"),
+        "lead",
         cells.alias("cells"),
     )
 
@@ -106,16 +109,17 @@ def raw_rows_from_readings(spark: SparkSession, readings: DataFrame) -> DataFram
 
 def names_from_readings(readings: DataFrame) -> DataFrame:
     """A workbook name per reading, in every shape the naming rule has to tell apart."""
-    yymm = F.date_format("record_time", "yyMM")
-    yy = F.date_format("record_time", "yy")
-    shapes = [
-        F.concat(F.lit("LOGGER RAWDATA_"), yymm, F.lit(".xlsx")),
-        F.concat(F.lit("LOGGER RAWDATA_"), yymm, F.lit("_v2.xlsx")),
-        F.concat(F.lit("LOGGER RAWDATA_20"), yymm, F.lit(".xlsx")),
-        F.concat(F.lit("LOGGER RAWDATA_"), yy, F.lit("00.xlsx")),
-        F.concat(F.lit("LOGGER RAWDATA_"), yy, F.lit("13.xlsx")),
-        F.concat(F.lit("LOGGER RAWDATA_ab"), yy, F.lit(".xlsx")),
-        F.concat(F.lit("LOGGER RAWDATA "), yymm, F.lit(".xlsx")),
-    ]
-    name = F.get(F.array(*shapes), (F.col("id") % len(shapes)).cast("int"))
-    return readings.select("id", name.alias("file"))
+    dated = readings.select("id", (F.col("id") % 7).alias("shape"), F.date_format("record_time", "yyMM").alias("yymm"))
+    yy, shape = F.substring("yymm", 1, 2), F.col("shape")
+    after = {
+        0: F.concat(F.lit("_"), "yymm"),
+        1: F.concat(F.lit("_"), "yymm", F.lit("_v2")),
+        2: F.concat(F.lit("_20"), "yymm"),
+        3: F.concat(F.lit("_"), yy, F.lit("00")),
+        4: F.concat(F.lit("_"), yy, F.lit("13")),
+        5: F.concat(F.lit("_ab"), yy),
+    }
+    ending = F.concat(F.lit(" "), "yymm")
+    for number, text in after.items():
+        ending = F.when(shape == number, text).otherwise(ending)
+    return dated.select("id", F.concat(F.lit("LOGGER RAWDATA"), ending, F.lit(".xlsx")).alias("file"))
