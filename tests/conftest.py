@@ -25,3 +25,11 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture(scope="module")
+def interpreted(spark):
+    """For tests of many tiny jobs, where compiling each plan would take most of the time."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    spark.conf.unset("spark.sql.codegen.wholeStage")

@@ -12,6 +12,8 @@ from barograph.sources.tables import SensorTables
 from barograph.sources.workbooks import scan_workbooks
 from barograph.streaming.watch import watch_folder
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 START = datetime(2025, 7, 1)
 
 
