@@ -6,6 +6,8 @@ great part of the rows cannot fill one range partition of the sort.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,8 +84,8 @@ def high_uv(readings: DataFrame, year: int, month: int, limit: float | str = fix
 
 
 def decimal(limit: float | str) -> Column:
-    """Compare channels with a DECIMAL: 0.8 as a double is not 0.80."""
-    return F.lit(str(limit)).cast("decimal(10,2)")
+    """The limit as it is written: 0.8 as a double is not 0.80."""
+    return F.lit(Decimal(str(limit)))
 
 
 def missing_rows(readings: DataFrame, year: int, month: int, limit: int = 50) -> DataFrame:

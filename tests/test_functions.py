@@ -119,6 +119,13 @@ def test_invariants(random_readings, random_rows):
     }
 
 
+@pytest.mark.parametrize(("limit", "kept"), [(35, 3), (35.5, 2), ("35.555", 1), (35.56, 0), (-1, 4)])
+def test_limits_are_taken_as_written(spark, limit, kept):
+    values = ["35.00", "35.01", "35.51", "35.56"]
+    rows = [(i, 2024, 1, datetime(2024, 1, 1), Decimal(v), *[None] * 4) for i, v in enumerate(values)]
+    assert select_rows.over_temperature(readings_frame(spark, rows), 2024, 1, limit).count() == kept
+
+
 def test_empty_month(spark, random_readings):
     row = quality.completeness_month(random_readings, 2030, 1).first()
     assert (row["total_records"], row["temp_count"], row["temp_percentage"]) == (0, None, None)
