@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import mixing, simhash
+from barograph.llm import classifier, decontaminate, mixing, packing, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_packing": packing.op3_packing,
+    "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_simhash": simhash.op7_simhash,
     "op9_mixing": mixing.op9_mixing,
+    "op10_quality": classifier.op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {

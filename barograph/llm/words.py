@@ -28,12 +28,12 @@ def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word of ``flat`` texts."""
+def spans(data: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word of ``flat`` texts; ``gap`` marks the bytes between words."""
     n = len(data)
     if n == 0:
         return (np.zeros(0, np.int64),) * 3
-    word = ~_IS_SPACE[data]
+    word = ~gap[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     begins, ends = word.copy(), word.copy()
@@ -61,16 +61,16 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit hash of each word; between the words there may only be white space."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int, gap: np.ndarray = _IS_SPACE) -> np.ndarray:
+    """A 64-bit hash of each word; between the words there may only be bytes of ``gap``."""
     if len(starts) == 0:
         return np.zeros(0, np.uint64)
     table, base = _constants(seed)
-    table[list(SPACES)] = 0
+    table[gap] = 0
     begin, end = starts[0], ends[-1]
     gaps = np.diff(starts, append=end)
     place = np.arange(begin, end) - np.repeat(starts, gaps)
-    place[_IS_SPACE[data[begin:end]]] = 0
+    place[gap[data[begin:end]]] = 0
     weights = powers(base, int((ends - starts).max()) + 1)
     sums = np.add.reduceat(table[data[begin:end]] * weights[place], starts - begin)
     return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
