@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import classifier, decontaminate, mixing, packing, simhash
+from barograph.llm import classifier, decontaminate, mixing, packing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substrings": substrings.op1_substrings,
     "op3_packing": packing.op3_packing,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_simhash": simhash.op7_simhash,

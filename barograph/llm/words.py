@@ -61,19 +61,28 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+_WORDS_AT_ONCE = 1 << 17
+
+
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int, gap: np.ndarray = _IS_SPACE) -> np.ndarray:
     """A 64-bit hash of each word; between the words there may only be bytes of ``gap``."""
-    if len(starts) == 0:
-        return np.zeros(0, np.uint64)
     table, base = _constants(seed)
     table[gap] = 0
-    begin, end = starts[0], ends[-1]
-    gaps = np.diff(starts, append=end)
-    place = np.arange(begin, end) - np.repeat(starts, gaps)
-    place[gap[data[begin:end]]] = 0
-    weights = powers(base, int((ends - starts).max()) + 1)
-    sums = np.add.reduceat(table[data[begin:end]] * weights[place], starts - begin)
-    return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    weights = powers(base, int((ends - starts).max(initial=0)) + 1)
+    out = np.zeros(len(starts), np.uint64)
+    for at in range(0, len(starts), _WORDS_AT_ONCE):
+        begins, stops = starts[at : at + _WORDS_AT_ONCE], ends[at : at + _WORDS_AT_ONCE]
+        part = data[begins[0] : stops[-1]]
+        place = np.arange(begins[0], stops[-1]) - np.repeat(begins, np.diff(begins, append=stops[-1]))
+        place[gap[part]] = 0
+        out[at : at + len(begins)] = np.add.reduceat(table[part] * weights[place], begins - begins[0])
+    return mix(out + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def ragged(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indexes begin, begin + 1, ... of all ranges, one range after the other."""
+    ends = np.cumsum(lengths)
+    return np.repeat(begins - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 def window_hashes(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
