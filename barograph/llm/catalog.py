@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import bytespans, classifier, decontaminate, mixing, packing, simhash, substrings
+from barograph.llm import bytespans, classifier, decontaminate, embeddings, mixing, packing, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": substrings.op1_substrings,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_suffix_array": bytespans.op5_suffix_array,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_simhash": simhash.op7_simhash,
+    "op8_embeddings": embeddings.op8_embeddings,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality": classifier.op10_quality,
 }
