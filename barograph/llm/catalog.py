@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import bytespans, classifier, decontaminate, embeddings, mixing, packing, simhash, substrings
+from barograph.llm import bytespans, classifier, decontaminate, embeddings, mixing, packing, pseudo_likelihood, simhash, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": substrings.op1_substrings,
     "op3_packing": packing.op3_packing,
+    "op4_pseudo_likelihood": pseudo_likelihood.op4_pseudo_likelihood,
     "op5_suffix_array": bytespans.op5_suffix_array,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_simhash": simhash.op7_simhash,
