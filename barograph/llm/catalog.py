@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import bytespans, classifier, decontaminate, embeddings, mixing, packing, pseudo_likelihood, simhash, substrings
+from barograph.llm import bytespans, classifier, decontaminate, embeddings, mixing, packing, pseudo_likelihood, simhash, substrings, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": substrings.op1_substrings,
+    "op2_templates": templates.op2_templates,
     "op3_packing": packing.op3_packing,
     "op4_pseudo_likelihood": pseudo_likelihood.op4_pseudo_likelihood,
     "op5_suffix_array": bytespans.op5_suffix_array,
