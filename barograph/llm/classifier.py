@@ -153,12 +153,13 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
 
 def score(text: Column, model: tuple[np.ndarray, float, float]) -> Column:
     """A probability-like score; 0.5 is the separating score of the training documents."""
-    weights, edge, scale = model[0].astype(np.float32), model[1], model[2]
+    weights, edge, scale = model
 
     @F.arrow_udf(T.DoubleType())
     def scored(texts: pa.Array) -> pa.Array:
-        found = [x @ weights for x in features(texts)] or [np.zeros(0)]
-        distance = (np.concatenate(found).astype(np.float64) - edge) / scale
+        # Row by row sums: a matrix product's rounding would depend on the other rows of the batch.
+        found = [(x * weights).sum(axis=1) for x in features(texts)] or [np.zeros(0)]
+        distance = (np.concatenate(found) - edge) / scale
         return pa.array(1 / (1 + np.exp(-np.clip(distance, -500, 500))))
 
     return scored(text)

@@ -10,7 +10,7 @@ document included, and the tasks' weights are averaged by the number of words, i
 than the square root of all. What a round sends grows with the corpus; the network itself has a fixed size.
 
 Cases: words are as in ``words.WORD``; a null or empty text has no words and score 0; beyond a document's ends there is a
-mark in place of a neighbour; rows alike get the same score; ties in frequency go by hash; no rows give no rows.
+mark in place of a neighbour; rows alike get the same score up to rounding; ties in frequency go by hash; no rows give no rows.
 """
 
 from __future__ import annotations

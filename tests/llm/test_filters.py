@@ -1,0 +1,223 @@
+"""Line templates (op2), decontamination (op6) and the quality classifier (op10)."""
+
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+from brute import SF_DIR, counted, leaked
+from brute import benchmark_words as words_of
+
+from barograph.llm import classifier, decontaminate, templates
+from barograph.llm.templates import DEPTH, Lines
+
+
+def whole_hash(words):
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    return int(Lines(data, np.array([0, len(data)])).whole().view(np.int64)[0])
+
+
+def without_templates(rows, least=5):
+    """(doc_id, n_lines, n_dropped, kept) by a plain version of the tree; rows alike count once."""
+    last = 1 << 62
+    rows_of, lines = defaultdict(set), {}
+    documents = sorted(set(rows), key=lambda r: (last if r[0] is None else r[0], r[1] or ""))
+    for doc in documents:
+        for i, line in enumerate((doc[1] or "").split("\n")):
+            words = line.encode().split()
+            if len(words) >= 3:
+                form = tuple(None if re.search(rb"[0-9]", w) else w for w in words)
+                lines[doc, i] = form
+                rows_of[form].add(doc)
+    leaves = defaultdict(list)
+    for form in rows_of:
+        leaves[len(form), form[:DEPTH]].append(form)
+    group, members = {}, defaultdict(set)
+    for leaf in leaves.values():
+        found = []
+        for form in sorted(leaf, key=lambda f: (-len(rows_of[f]), whole_hash([w or b"0" for w in f]))):
+            scores = [sum(a is not None and a == b for a, b in zip(t, form, strict=True)) for t, _ in found]
+            if scores and max(scores) >= 0.7 * len(form):
+                t, name = found[scores.index(max(scores))]
+                t[:] = [a if a == b else None for a, b in zip(t, form, strict=True)]
+            else:
+                name = form
+                found.append((list(form), name))
+            group[form] = name
+            members[name] |= rows_of[form]
+    out = []
+    for doc in rows:
+        own = (doc[1] or "").split("\n") if doc[1] else []
+        gone = set()
+        for i in range(len(own)):
+            names = members.get(group.get(lines.get((doc, i))), ())
+            if len(names) >= least and doc != min(names, key=lambda r: (r[0] is None, r[0] or 0)):
+                gone.add(i)
+        out.append((doc[0], len(own), len(gone), "\n".join(x for i, x in enumerate(own) if i not in gone)))
+    return out
+
+
+def kept_lines(spark, docs, **limits):
+    return counted(tuple(r) for r in templates.without_recurring_lines(spark, docs, **limits).collect())
+
+
+@pytest.fixture(scope="module")
+def logs():
+    random.seed(6)
+    names = ["ann", "bob", "cid", "dora", "eve"]
+    rows = []
+    for i in range(40):
+        lines = [f"job {i} of the night run done in {random.randrange(900)} ms", f"a line of its own that {' '.join(random.choices('abcdefgh', k=9))} has"]
+        lines.append(f"the gate at the north side was opened by {random.choice(names)} again")
+        lines += ["", "two words", "see also the index for all that has been said here"] * (i % 3)
+        random.shuffle(lines)
+        rows.append((i, "\n".join(lines)))
+    return rows
+
+
+def test_templates_of_logs(spark, logs):
+    docs = spark.createDataFrame(logs, "doc_id long, text string").repartition(3)
+    expected = without_templates(logs)
+    assert kept_lines(spark, docs) == counted(expected)
+    assert sum(r[2] for r in expected) > 80
+    # The numbers, and the names, are variable: one document keeps the line.
+    assert sum("night run" in r[3] for r in expected) == 1 == sum("north side" in r[3] for r in expected)
+
+
+def test_large_leaves_are_parsed_on(spark, logs):
+    """Lines that differ within their first tokens part; the others still meet."""
+    docs = spark.createDataFrame(logs, "doc_id long, text string")
+    rows = {r.doc_id: r.kept for r in templates.without_recurring_lines(spark, docs, leaf_limit=1).collect()}
+    assert sum("night run" in t for t in rows.values()) == 1
+    assert sum("see also" in t for t in rows.values()) == 1
+
+
+def test_templates_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
+    assert kept_lines(spark, odd_docs, least=2) == counted(without_templates(odd_rows, 2))
+    assert not kept_lines(spark, no_docs)
+
+
+def test_templates_of_small_table(spark, small_docs):
+    docs = spark.createDataFrame(small_docs, "doc_id long, text string").repartition(3)
+    assert kept_lines(spark, docs, least=3) == counted(without_templates(small_docs, 3))
+
+
+# Decontamination
+
+
+def test_best_overlap_is_the_longest():
+    rng = np.random.default_rng(8)
+    for _ in range(300):
+        document, item = rng.integers(0, 3, int(rng.integers(1, 30))), rng.integers(0, 3, int(rng.integers(1, 12)))
+        shift = int(rng.integers(-5, 25))
+        longest = 0
+        for a in range(len(item)):
+            for b in range(a + 1, len(item) + 1):
+                if 0 <= a + shift and b + shift <= len(document):
+                    same = document[a + shift : b + shift] == item[a:b]
+                    if same[0] and same[-1] and 5 * same.sum() >= 4 * (b - a):
+                        longest = max(longest, b - a)
+        start, length, equal = decontaminate.best_overlap(document, item, [shift])
+        assert length == longest
+        assert not length or (5 * equal >= 4 * length and (document[start : start + length] == item[start - shift : start - shift + length]).sum() == equal)
+
+
+@pytest.fixture(scope="module")
+def leaks():
+    random.seed(9)
+    vocabulary = ["".join(random.choices("abcdeé", k=random.randrange(1, 7))) for _ in range(400)]
+    items = [(i, " ".join(random.choices(vocabulary, k=random.choice([5, 7, 15, 20, 40])))) for i in range(40)]
+    docs, due = [], set()
+    for d in range(120):
+        words = random.choices(vocabulary, k=random.randrange(200))
+        if d % 3 == 0:
+            item, text = random.choice(items)
+            inside = text.split()
+            changes = {15: 3, 20: 4, 40: 8}.get(len(inside), 0)
+            for p in random.sample(range(1, len(inside) - 1), min(changes, len(inside) - 2)):
+                inside[p] = "changed"
+            cased = [w.upper() if random.random() < 0.3 else w for w in inside]
+            at = random.randrange(len(words) + 1)
+            words[at:at] = [w + random.choice(["", ",", ".\n"]) for w in cased]
+            due.add((d, item))
+        docs.append((d, " ".join(words)))
+    return docs, items, due
+
+
+def test_changed_passages_are_found(spark, leaks):
+    docs, items, due = leaks
+    found = decontaminate.contaminated(
+        spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(5), spark.createDataFrame(items, "item_id long, text string")
+    )
+    rows = found.collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == due
+    by_id, by_item = dict(docs), dict(items)
+    for r in rows:
+        own = words_of(by_id[r.doc_id])[r.start_word : r.start_word + r.n_words]
+        assert r.item_words == len(words_of(by_item[r.item_id])) and r.n_equal >= 0.8 * len(own) and len(own) == r.n_words
+
+
+def test_decontamination_of_the_table_equals_all_alignments(spark):
+    """Every document against every item, along every alignment that shares a word run."""
+    docs, items = (duckdb.sql(f"SELECT * FROM '{SF_DIR}/{t}.parquet'").fetchall() for t in ("documents", "benchmark"))
+    due = {(docs[n][0], i) for n, i in leaked([d[:2] for d in docs], items)}
+    read = [spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "benchmark")]
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark, *read).collect()} == due
+    assert due
+
+
+def test_decontamination_of_odd_documents(spark, odd_docs, no_docs):
+    items = [(1, "quick brown fox jumps over the LAZY dog"), (1, "quick brown fox jumps over the LAZY dog"), (2, None), (3, ""), (4, "one"), (None, "Some text of its own, then: The")]
+    table = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, item string")
+    rows = decontaminate.contaminated(spark, odd_docs, table).collect()
+    assert counted((r.doc_id, r.item_id) for r in rows) == counted([(1, 1), (1, 1), (2, 1), (9, 1), (None, 1), (9, None)])
+    assert not decontaminate.contaminated(spark, no_docs, table).collect()
+    assert not decontaminate.contaminated(spark, odd_docs, table.limit(0)).collect()
+
+
+# Classifier
+
+
+def test_weights_rank_pairs():
+    rng = np.random.default_rng(10)
+    x = rng.standard_normal((400, 12)).astype(np.float32)
+    label = (x @ np.arange(12) > 4).astype(int)
+    weights, edge, scale = classifier.fit(x, label)
+    scores = x @ weights
+    good, bad = scores[label == 1], scores[label == 0]
+    assert (good[:, None] > bad[None, :]).mean() > 0.98
+    assert ((scores > edge) == label).mean() > 0.95 and scale > 0
+    assert not classifier.fit(x, np.ones(400, int))[0].any()
+    assert not classifier.fit(x[:0], label[:0])[0].any()
+
+
+def test_held_out_documents_are_told_apart(spark):
+    rows = classifier.op10_quality(spark, "/root/testdata/sf0.1").collect()
+    labels = dict(duckdb.sql("SELECT doc_id, quality FROM '/root/testdata/sf0.1/labels.parquet'").fetchall())
+    assert len(rows) == 10_000
+    right = {True: [], False: []}
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
+        if r.doc_id in labels:
+            right[r.held_out].append(r.predicted == labels[r.doc_id])
+    assert len(right[True]) > 1000 and np.mean(right[True]) > 0.97
+
+
+def test_scores_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
+    good = [(100 + i, "A plain sentence of the usual kind, with some words. And one more.") for i in range(9)]
+    bad = [(200 + i, "buy %%% now $$$ buy %%% now $$$ " * 5) for i in range(9)]
+    docs = odd_docs.select("doc_id", "text").union(spark.createDataFrame(good + bad, "doc_id long, text string"))
+    labels = [(d, 1, 0) for d, _ in good] + [(d, 0, 0) for d, _ in bad] + [(1, None, 0), (2, 1, 0), (2, 0, 0), (None, 1, 0), (100, 1, 1), (7777, 0, 0)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = classifier.train(docs, table)
+    scored = classifier.classify(docs, model).collect()
+    assert len(scored) == len(odd_rows) + 18
+    by_id = {r.doc_id: r.score for r in scored}
+    assert all(by_id[d] >= 0.5 for d, _ in good) and all(by_id[d] < 0.5 for d, _ in bad)
+    same = {r.score for r in scored if r.text == odd_rows[0][1]}
+    assert len(same) == 1 and all(0 <= r.score <= 1 for r in scored)
+    assert not classifier.classify(no_docs, model).collect()
+    assert {r.score for r in classifier.classify(odd_docs, classifier.train(no_docs, table)).collect()} == {0.5}
