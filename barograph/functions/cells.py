@@ -11,11 +11,26 @@ from barograph.schema import CHANNEL
 # Casts from text are lax where these guards are strict: a cast to DOUBLE takes "12d" and
 # "inf", one to TIMESTAMP_NTZ drops a time zone.
 NUMBER_CHARACTERS = r"^[0-9eE+.\s-]+$"
-CLOCK = r"([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?"
 WHOLE_SECONDS = r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$"
-YEAR_FIRST = rf"^\d{{4}}[-/]\d{{1,2}}[-/]\d{{1,2}}{CLOCK}$"
-YEAR_LAST = rf"^(\d{{1,2}})[-/](\d{{1,2}})[-/](\d{{4}}){CLOCK}$"
-NEARER_TO_NEXT_SECOND = r"\.[5-9]\d*$"
+
+# English month names, of which three letters are enough.
+MONTH_NAMES = (
+    "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+    "sep(?:t(?:ember)?)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?"
+)
+MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
+
+# Dates as (pattern, the groups that are year, month and day). All groups of a pattern count.
+DATES = [
+    (r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", (1, 2, 3)),
+    (r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", (3, 1, 2)),
+    (rf"({MONTH_NAMES})\.? (\d{{1,2}}),? (\d{{4}})", (3, 1, 2)),
+    (rf"(\d{{1,2}})[- ]({MONTH_NAMES})\.?[- ,]+(\d{{4}})", (3, 2, 1)),
+]
+HALF = r"(?: ?([ap])\.?m\.?)?"
+ZONE = r"(?: ?(?:z|utc|gmt|[-+]\d{2}:?(?:\d{2})?))?"
+CLOCK = rf"(?:[ t](\d{{1,2}}):(\d{{1,2}})(?::(\d{{1,2}})(\.\d+)?)?{HALF}{ZONE})?"
+COMPACT = r"^(\d{4})(\d{2})(\d{2})[ t]?(\d{2})(\d{2})(\d{2})$"
 
 # Decimal texts of up to 15 digits are the same number read as decimal or as double.
 EXACT_LENGTH = 16
@@ -37,21 +52,41 @@ def channel_value(text: Column) -> Column:
     return F.when(F.length(text) <= EXACT_LENGTH, text.try_cast(CHANNEL)).otherwise(as_double.try_cast(CHANNEL))
 
 
+def clock_text(hour: Column, minute: Column, second: Column, half: Column) -> Column:
+    """`H:M:S` of a clock whose parts may be empty; NULL for an hour that AM or PM can't have."""
+    number = hour.try_cast("int")
+    of_half = F.when(number.between(1, 12), number % 12 + F.when(half == "p", 12).otherwise(0))
+    hours = F.when(hour == "", 0).when(half == "", number).otherwise(of_half)
+    return F.concat(hours, F.lit(":"), *[
+        part for text in (minute, second) for part in (F.when(text == "", "0").otherwise(text), F.lit(":"))
+    ][:-1])
+
+
 def sample_time(text: Column) -> Column:
     """TIMESTAMP_NTZ at the nearest second, or NULL where the text is not a time.
 
-    Year-first dates with ``-`` or ``/``; year-last dates are month first unless that is no
-    month. The clock and its seconds may be left out. The logger's own form comes first.
+    The logger's own form comes first. Others: dates in numbers, year first or last, with
+    ``-``, ``/`` or ``.``; year-last dates are month first unless that is no month. English
+    month names before or after the day. The clock and its seconds may be left out; it may
+    have AM or PM. A time zone is passed over: the clock counts as it is written. Date and
+    clock may also come as digits only.
     """
-    trimmed = F.trim(text)
-    to_second = F.substring_index(trimmed, ".", 1)
-
-    def year_last(order: str) -> Column:
-        return F.regexp_replace(to_second, YEAR_LAST, order).try_cast("timestamp_ntz")
-
-    other_form = F.when(
-        trimmed.rlike(YEAR_FIRST), F.translate(to_second, "/", "-").try_cast("timestamp_ntz")
-    ).when(trimmed.rlike(YEAR_LAST), F.coalesce(year_last("$3-$1-$2$4"), year_last("$3-$2-$1$4")))
-    half_second = F.when(trimmed.rlike(NEARER_TO_NEXT_SECOND), 1).otherwise(0)
-    rounded = other_form + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), half_second.cast("decimal(18,6)"))
-    return F.when(text.rlike(WHOLE_SECONDS), text.try_cast("timestamp_ntz")).otherwise(rounded)
+    plain = F.lower(F.regexp_replace(F.trim(text), r"\s+", " "))
+    found = F.when(plain.rlike(COMPACT), F.regexp_replace(plain, COMPACT, "$1-$2-$3 $4:$5:$6").try_cast("timestamp_ntz"))
+    for date, places in DATES:
+        pattern = f"^{date}{CLOCK}$"
+        year, month, day = (F.regexp_extract(plain, pattern, group) for group in places)
+        clock = clock_text(*(F.regexp_extract(plain, pattern, group) for group in (4, 5, 6, 8)))
+        if MONTH_NAMES in date:
+            month = F.ceil(F.position(F.substring(month, 1, 3), F.lit(MONTH_STARTS)) / 3).cast("string")
+
+        def at(month: Column, day: Column, year: Column = year, clock: Column = clock) -> Column:
+            return F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), clock).try_cast("timestamp_ntz")
+
+        value = at(month, day)
+        if places == (3, 1, 2) and MONTH_NAMES not in date:
+            value = F.coalesce(value, at(day, month))
+        half_second = F.when(F.regexp_extract(plain, pattern, 7).rlike(r"^\.[5-9]"), 1).otherwise(0)
+        rounded = value + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), half_second.cast("decimal(18,6)"))
+        found = found.when(plain.rlike(pattern), rounded)
+    return F.when(text.rlike(WHOLE_SECONDS), text.try_cast("timestamp_ntz")).otherwise(found)

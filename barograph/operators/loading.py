@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barograph import fixed
+from barograph.operators.prefix import prefix_sums
 from barograph.schema import MONTH_KEYS, SAMPLE_KEYS
+from barograph.session import WorkArea
 from barograph.sources.filenames import file_year_month
 
 
 def existing_months(readings: DataFrame) -> DataFrame:
     """The file months that have at least one row.
 
-    A stored table answers this from partition values, without reading a data column.
+    This reads every row of a frame; a stored table answers from its ledger, see
+    ``SensorTables.months``.
     """
     return readings.select(*MONTH_KEYS).distinct()
 
@@ -35,6 +38,12 @@ def in_new_months(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
     return incoming.join(month_list(loaded), MONTH_KEYS, "left_anti")
 
 
+def files_with_samples(layouts: DataFrame, counts: DataFrame) -> DataFrame:
+    """The readable files with at least one accepted sample."""
+    readable = layouts.where(F.col("problem").isNull())
+    return readable.join(counts.where(F.col("parsed") > 0).select("file"), "file", "left_semi")
+
+
 def first_files(files: DataFrame) -> DataFrame:
     """The first file, in path order, of each month."""
     return files.groupBy(*MONTH_KEYS).agg(F.min("file").alias("file"))
@@ -75,10 +84,6 @@ def load_replace_month(loaded: DataFrame, incoming: DataFrame) -> DataFrame:
     return kept.unionByName(incoming)
 
 
-def load_clear(loaded: DataFrame) -> DataFrame:
-    return loaded.where(F.lit(False))
-
-
 def file_status(files: DataFrame, loaded: DataFrame) -> DataFrame:
     """Files with their month and whether that month is loaded; no month means not loaded."""
     months = month_list(loaded).withColumn("loaded", F.lit(True))
@@ -106,30 +111,25 @@ def import_summary(layouts: DataFrame, counts: DataFrame, taken: DataFrame) -> D
     )
 
 
-def number_readings(samples: DataFrame, last_id: int) -> DataFrame:
-    """Add `id`, consecutive in load order: file month, file, worksheet row.
+def id_offsets(area: WorkArea, samples: DataFrame) -> DataFrame:
+    """Per file: its lowest worksheet row, how many ids its rows span, and how many come before.
 
-    No window spans the samples: rows are numbered within their file, which a worksheet
-    bounds at 1,048,576 rows, and shifted by the sum of the counts before it, first of the
-    earlier files of the month and then of the earlier months, of which there are at most
-    9,900.
+    One row per file and task is shuffled, no samples; the running sum over the files, in
+    order of file month and name, goes range by range.
     """
-    per_file = samples.groupBy(*MONTH_KEYS, "file").agg(F.count(F.lit(1)).alias("n"))
-    per_month = per_file.groupBy(*MONTH_KEYS).agg(F.sum("n").alias("n"))
-    before = (Window.unboundedPreceding, -1)
-    months = Window.orderBy(*MONTH_KEYS).rowsBetween(*before)
-    files = Window.partitionBy(*MONTH_KEYS).orderBy("file").rowsBetween(*before)
-    earlier_months = per_month.select(*MONTH_KEYS, F.sum("n").over(months).alias("in_months"))
-    offsets = (
-        per_file.withColumn("in_files", F.sum("n").over(files))
-        .join(F.broadcast(earlier_months), MONTH_KEYS)
-        .select(
-            "file",
-            (F.coalesce("in_months", F.lit(0)) + F.coalesce("in_files", F.lit(0))).alias("offset"),
-        )
-    )
-    in_file = F.row_number().over(Window.partitionBy("file").orderBy("sheet_row"))
-    numbered = samples.withColumn("position", in_file).join(offsets, "file")
-    return numbered.withColumn("id", F.lit(last_id) + F.col("offset") + F.col("position")).drop(
-        "offset", "position"
-    )
+    rows = (F.max("sheet_row") - F.min("sheet_row") + 1).alias("span")
+    per_file = samples.groupBy(*MONTH_KEYS, "file").agg(F.min("sheet_row").alias("lowest"), rows)
+    order = [F.col(c).asc_nulls_last() for c in (*MONTH_KEYS, "file")]
+    placed = prefix_sums(area, per_file, [], order, "span", "offsets")
+    return area.stage(placed.select("file", "lowest", "span", F.col("_before").alias("offset")), "ids")
+
+
+def number_readings(samples: DataFrame, offsets: DataFrame, last_id: int) -> DataFrame:
+    """Add `id`, rising in load order: file month, file, worksheet row.
+
+    A sample's place in its file is its worksheet row, so rows that were refused leave gaps and
+    no window over the samples is needed.
+    """
+    numbered = samples.join(offsets.select("file", "lowest", "offset"), "file")
+    place = F.col("sheet_row") - F.col("lowest") + 1
+    return numbered.withColumn("id", F.lit(last_id) + F.col("offset") + place).drop("lowest", "offset")

@@ -15,6 +15,7 @@ from barograph.sources.events import (
     names_from_readings,
     raw_rows_from_readings,
     readings_from_events,
+    workbooks_from_readings,
 )
 from barograph.sources.filenames import file_year_month
 
@@ -92,15 +93,32 @@ def classified_samples(spark: SparkSession, raw_rows: DataFrame) -> DataFrame:
 
 
 def data_region(spark: SparkSession, readings: DataFrame) -> DataFrame:
-    return ingest.data_region(raw_rows_from_readings(spark, readings))
+    return ingest.data_region(workbooks_from_readings(spark, readings))
 
 
 def header_roles(spark: SparkSession, readings: DataFrame) -> DataFrame:
-    raw_rows = raw_rows_from_readings(spark, readings)
+    raw_rows = workbooks_from_readings(spark, readings)
     tops = WorkArea(spark).stage(ingest.sheet_tops(raw_rows), "tops")
     return ingest.header_roles(raw_rows, tops)
 
 
+def first_files(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    """The workbook that each month takes, and its samples, if a month takes one only."""
+    raw_rows = workbooks_from_readings(spark, readings)
+    layouts = staged_layouts(spark, raw_rows)
+    counts = WorkArea(spark).stage(ingest.sample_counts(ingest.classify_samples(raw_rows, layouts)), "counts")
+    first = loading.first_files(loading.files_with_samples(layouts, counts))
+    return first.join(counts.select("file", "parsed"), "file").select("year", "month", "file", "parsed")
+
+
+def numbered_samples(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    """Ids of the samples of many workbooks."""
+    area = WorkArea(spark)
+    samples = classified_samples(spark, workbooks_from_readings(spark, readings))
+    samples = area.stage(ingest.decode_samples(samples).select("file", "sheet_row", "year", "month"), "samples")
+    return loading.number_readings(samples, loading.id_offsets(area, samples), 100).select("file", "sheet_row", "id")
+
+
 def decode_samples(spark: SparkSession, readings: DataFrame) -> DataFrame:
     return ingest.decode_samples(classified_samples(spark, raw_rows_from_readings(spark, readings)))
 
@@ -110,14 +128,14 @@ def rejects(spark: SparkSession, readings: DataFrame) -> DataFrame:
 
 
 def import_summary(spark: SparkSession, readings: DataFrame) -> DataFrame:
-    """An import that skips the months already loaded."""
-    raw_rows = raw_rows_from_readings(spark, readings)
+    """An import that skips the months already loaded: whole files, so their counts are enough."""
+    raw_rows = WorkArea(spark).stage(raw_rows_from_readings(spark, readings), "raw_rows")
     layouts = staged_layouts(spark, raw_rows)
-    classified = ingest.classify_samples(raw_rows, layouts)
+    counts = ingest.sample_counts(ingest.classify_samples(raw_rows, layouts))
     loaded, _ = loaded_and_incoming(readings)
-    admitted = loading.in_new_months(loaded, ingest.decode_samples(classified))
-    taken = admitted.groupBy("file").agg(F.count(F.lit(1)).alias("inserted"))
-    return loading.import_summary(layouts, ingest.sample_counts(classified), taken)
+    new = loading.in_new_months(loaded, layouts.select("file", "year", "month")).select("file", F.lit(True).alias("new"))
+    counts = counts.join(new, "file", "left").withColumn("inserted", F.when(F.col("new"), F.col("parsed")).otherwise(0))
+    return loading.import_summary(layouts, counts.drop("new", "inserted"), counts.select("file", "inserted"))
 
 
 def rebuild(spark: SparkSession, readings: DataFrame) -> DataFrame:
@@ -166,11 +184,12 @@ ON_READINGS: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     "load_skip_existing": with_load(loading.load_skip_existing),
     "load_dedupe": with_load(lambda loaded, incoming: loading.load_dedupe(loaded, incoming, ["id"])),
     "load_replace_month": with_load(loading.load_replace_month),
-    "load_clear": with_load(lambda loaded, _: loading.load_clear(loaded)),
     "file_year_month": names,
     "file_status": file_status,
     "data_region": data_region,
     "header_roles": header_roles,
+    "load_first_files": first_files,
+    "number_readings": numbered_samples,
     "decode_samples": decode_samples,
     "rejects": rejects,
     "import_summary": import_summary,

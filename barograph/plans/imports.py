@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from barograph.operators import daily, ingest, loading
 from barograph.schema import MONTH_KEYS
 from barograph.session import WorkArea, work_area
+from barograph.sources.filenames import file_year_month
 from barograph.sources.tables import SensorTables
-from barograph.sources.workbooks import list_workbooks, scan_workbooks, workbook_glob
+from barograph.sources.workbooks import list_workbooks, scan_workbooks
 
 MODES = ("append", "skip_existing", "dedupe", "replace", "rebuild")
 MONTH_LIMIT = 9_900
+ALREADY_LOADED = "month already loaded"
 
 
 def read_samples(area: WorkArea, raw_rows: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -51,16 +53,24 @@ def only_months(readings: DataFrame, months: Iterable[tuple[int, int]]) -> DataF
 
 
 def admit(
-    area: WorkArea, tables: SensorTables, layouts: DataFrame, samples: DataFrame, mode: str
+    area: WorkArea,
+    tables: SensorTables,
+    layouts: DataFrame,
+    samples: DataFrame,
+    mode: str,
+    arrivals: DataFrame | None = None,
 ) -> DataFrame:
     """The samples that the load mode lets in."""
     if mode not in ("skip_existing", "dedupe"):
         return samples
     incoming = months_in(layouts.where(F.col("problem").isNull()))
     if mode == "skip_existing":
-        return only_months(samples, set(incoming) - set(months_in(tables.readings())))
+        return only_months(samples, set(incoming) - set(tables.months()))
     concerned = only_months(tables.readings(), incoming)
-    return area.stage(loading.in_new_samples(concerned, samples, ["file", "sheet_row"]), "admitted")
+    order = ["file", "sheet_row"]
+    if arrivals is not None:
+        samples, order = samples.join(area.stage(arrivals, "arrivals"), "file"), ["arrived", *order]
+    return area.stage(loading.in_new_samples(concerned, samples, order).drop("arrived"), "admitted")
 
 
 def load_raw_rows(
@@ -70,23 +80,29 @@ def load_raw_rows(
     first_file_per_month_only: bool = False,
     strict: bool = False,
     refresh_stats: bool = False,
+    left_out: DataFrame | None = None,
+    arrivals: DataFrame | None = None,
 ) -> DataFrame:
     """Decode worksheet rows, store what the mode admits and return the import summary.
 
     ``append`` keeps everything, also repeats. ``skip_existing`` takes months that are not
-    loaded yet. ``dedupe`` takes samples whose (year, month, record_time) is new.
-    ``replace`` overwrites the months that arrive, ``rebuild`` the whole table. All files
-    are stored by one job, so a failure stores none.
+    loaded yet. ``dedupe`` takes samples whose (year, month, record_time) is new, of repeats
+    the one of the first file by name, or by ``arrivals`` (file, arrived). ``replace``
+    overwrites the months that arrive, ``rebuild`` the whole table. All files are stored by
+    one job, so a failure stores none. With ``first_file_per_month_only``, a month takes its
+    first file that has any sample. ``left_out`` (file, year, month, problem) are files that
+    were not read; they are named in the summary.
     """
     if mode not in MODES:
         raise ValueError(f"unknown load mode: {mode}")
     with work_area(tables.spark) as area:
         layouts, classified = read_samples(area, raw_rows, strict)
         samples = ingest.decode_samples(classified)
+        counts = area.stage(ingest.sample_counts(classified), "counts")
         if first_file_per_month_only:
-            first = loading.first_files(layouts.where(F.col("problem").isNull()))
+            first = loading.first_files(loading.files_with_samples(layouts, counts))
             samples = samples.join(area.stage(first, "first").select("file"), "file", "left_semi")
-        admitted = admit(area, tables, layouts, samples, mode)
+        admitted = admit(area, tables, layouts, samples, mode, arrivals)
         per_file = admitted.groupBy("file").agg(
             F.count(F.lit(1)).alias("inserted"),
             F.min("record_time").alias("first_time"),
@@ -99,19 +115,21 @@ def load_raw_rows(
             F.to_date(F.max("last_time")).alias("last_date"),
         ).first()
 
+        offsets = loading.id_offsets(area, admitted)
+        ids = offsets.agg(F.coalesce(F.sum("span"), F.lit(0))).first()[0]
         if mode == "rebuild":
-            tables.replace_readings(loading.number_readings(admitted, 0), total["rows"])
+            tables.replace_readings(loading.number_readings(admitted, offsets, 0), ids)
         elif total["rows"]:
-            numbered = loading.number_readings(admitted, tables.reserve_ids(total["rows"]))
+            numbered = loading.number_readings(admitted, offsets, tables.reserve_ids(ids))
             store = tables.replace_months if mode == "replace" else tables.append_readings
             store(numbered)
         if refresh_stats and total["rows"]:
             whole = mode in ("replace", "rebuild")
             refresh_daily(tables, *([] if whole else [total["first_date"], total["last_date"]]))
 
-        summary = loading.import_summary(
-            layouts, ingest.sample_counts(classified), taken.select("file", "inserted")
-        )
+        if left_out is not None:
+            layouts = layouts.unionByName(left_out, allowMissingColumns=True)
+        summary = loading.import_summary(layouts, counts, taken.select("file", "inserted"))
         number = tables.record_import(summary, ingest.rejects(classified))
     return tables.import_summary(number).orderBy("file")
 
@@ -141,26 +159,27 @@ def import_all(tables: SensorTables, folder: str, refresh_stats: bool = False) -
 
 def list_files(tables: SensorTables, folder: str) -> DataFrame:
     """The folder's workbooks with their month and whether that month is loaded."""
-    return loading.file_status(list_workbooks(tables.spark, folder), tables.readings()).orderBy("file")
+    return loading.file_status(list_workbooks(tables.spark, folder), tables.month_frame()).orderBy("file")
 
 
 def import_new(
     tables: SensorTables, folder: str, first_file_per_month_only: bool = False, refresh_stats: bool = False
-) -> DataFrame | None:
-    """Import the workbooks of months that are not loaded; None when there are none.
+) -> DataFrame:
+    """Import the workbooks of months that are not loaded.
 
-    The new months become part of the name pattern, so workbooks of loaded months are not
-    even opened. With ``first_file_per_month_only``, a second workbook of a new month is
-    left out too, as its month is loaded by then.
+    Exactly the files listed as new are opened; the summary names the others too, with the
+    reason why they were left out. With ``first_file_per_month_only``, a second workbook of a
+    new month gives nothing, as its month is loaded by then.
     """
     tables.create()
-    status = list_files(tables, folder).where(~F.col("already_loaded") & F.col("year").isNotNull())
-    new = months_in(status)
-    if not new:
-        return None
-    raw_rows = scan_workbooks(tables.spark, folder, workbook_glob(new))
+    listed = list_files(tables, folder).collect()  # names only, as the listing itself holds them
+    new = [r["file"] for r in listed if r["year"] is not None and not r["already_loaded"]]
+    others = tables.spark.createDataFrame([(r["file"],) for r in listed if r["file"] not in set(new)], "file string")
+    reason = F.coalesce("name_problem", F.lit(ALREADY_LOADED)).alias("problem")
+    left_out = file_year_month(others).select("file", "year", "month", reason)
+    raw_rows = scan_workbooks(tables.spark, new)
     return load_raw_rows(
-        tables, raw_rows, "skip_existing", first_file_per_month_only, refresh_stats=refresh_stats
+        tables, raw_rows, "skip_existing", first_file_per_month_only, refresh_stats=refresh_stats, left_out=left_out
     )
 
 
@@ -170,24 +189,27 @@ def import_selected(
     positions: list[int],
     on_existing: str = "skip_existing",
     refresh_stats: bool = False,
+    first_file_per_month_only: bool | None = None,
 ) -> tuple[DataFrame | None, list[int]]:
     """Import the workbooks at the given 1-based positions of the sorted listing.
 
-    Positions outside the listing are returned; the others are imported all the same.
+    Positions outside the listing are returned; the others are imported all the same, each
+    once. Where months that are loaded are skipped, a month is loaded after its first chosen
+    workbook that has samples, so the others of that month give nothing, unless
+    ``first_file_per_month_only`` is False.
     """
     tables.create()
-    listing = list_workbooks(tables.spark, folder).orderBy("file")
-    found, invalid = [], []
-    for position in positions:
-        row = listing.offset(position - 1).limit(1).first() if position >= 1 else None
-        if row is None:
-            invalid.append(position)
-        else:
-            found.append(row["file"])
+    chosen = sorted(set(positions))
+    listing = list_workbooks(tables.spark, folder).orderBy("file").limit(max(0, *chosen, 0))
+    names = [row["file"] for row in listing.collect()]
+    invalid = [p for p in positions if not 1 <= p <= len(names)]
+    found = [names[p - 1] for p in chosen if 1 <= p <= len(names)]
     if not found:
         return None, invalid
+    if first_file_per_month_only is None:
+        first_file_per_month_only = on_existing == "skip_existing"
     raw_rows = scan_workbooks(tables.spark, found)
-    return load_raw_rows(tables, raw_rows, on_existing, refresh_stats=refresh_stats), invalid
+    return load_raw_rows(tables, raw_rows, on_existing, first_file_per_month_only, refresh_stats=refresh_stats), invalid
 
 
 def rebuild(tables: SensorTables, folder: str) -> DataFrame:

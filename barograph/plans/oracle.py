@@ -140,6 +140,20 @@ LAYOUTS = """(VALUES (1, 2, 1, 2, 3, 4, 5, 6), (2, 3, 1, 3, 5, 6, 2, 4), (3, 4,
   AS layout(month, marker, time_pos, ch1_pos, ch2_pos, ch3_pos, ch4_pos, ch5_pos)"""
 FILE = "'LOGGER RAWDATA_240' || month || '.xlsx' AS file"
 IN_FILES = f"{LAYOUTS} SEMI JOIN readings USING (month)"
+
+# One workbook per date and group of readings; the kind is the header case, 16 and 17 have no marker.
+WORKBOOK = "'LOGGER RAWDATA_' || strftime(record_time, '%y%m_%d') || '_' || (id % 4) || '.xlsx'"
+WORKBOOKS = f"""SELECT {WORKBOOK} AS file, any_value(id % 4) AS team, count(*) AS n,
+    any_value(date_diff('day', DATE '2024-01-01', record_time::DATE) * 4 + id % 4) % 18 AS kind,
+    any_value(id % 4) + 3 + min(id) AS low, any_value(id % 4) + 3 + max(id) AS high
+    FROM readings GROUP BY 1"""
+GIVES_SAMPLES = "kind < 16 AND kind <> 13 AND team % 2 = 1"
+HEADERS = """(VALUES (0, 1, 2, 3, 4, 5, 6), (1, 1, 2, 3, NULL, 4, NULL), (2, 1, 2, NULL, NULL, NULL, 3),
+    (3, 1, 2, NULL, NULL, NULL, 4), (4, 1, 2, NULL, NULL, NULL, 3), (5, 1, NULL, NULL, 2, NULL, NULL),
+    (6, 1, NULL, NULL, 4, NULL, NULL), (7, 1, NULL, NULL, NULL, 3, NULL), (8, 1, NULL, 3, NULL, NULL, NULL),
+    (9, 2, 3, NULL, NULL, NULL, NULL), (10, 1, 3, 4, NULL, NULL, NULL), (11, 1, NULL, NULL, NULL, NULL, 2),
+    (12, 1, 3, NULL, NULL, NULL, NULL), (13, NULL, 1, 2, NULL, NULL, NULL), (14, 1, 2, NULL, NULL, NULL, 4),
+    (15, 1, 2, NULL, NULL, NULL, 3)) AS h(kind, time_pos, ch1_pos, ch2_pos, ch3_pos, ch4_pos, ch5_pos)"""
 GOOD = "id % 101 <> 0 AND id % 103 <> 0"
 VIEW = f"""SELECT id, year, month, {DATE} AS date, record_time, {number(TEMPERATURE, "temperature")},
   {number(HUMIDITY, "humidity")}, {number(UV, "uv")}, {number(LUX, "lux")},
@@ -297,13 +311,20 @@ BODIES = {
         SELECT DISTINCT i.* FROM incoming i ANTI JOIN loaded l USING (year, month, record_time)
         QUALIFY row_number() OVER (PARTITION BY i.year, i.month, i.record_time ORDER BY i.id) = 1)""",
     "load_replace_month": f"SELECT {ROW} FROM (FROM loaded ANTI JOIN incoming USING (year, month) UNION ALL FROM incoming)",
-    "load_clear": f"SELECT {ROW} FROM loaded LIMIT 0",
     "file_year_month": f"SELECT id, file, year, month FROM ({NAMES})",
     "file_status": f"""SELECT DISTINCT file, year, month,
         coalesce((year, month) IN (SELECT (year, month) FROM loaded), false) AS already_loaded FROM ({NAMES})""",
-    "data_region": f"""SELECT {FILE}, CAST(marker AS BIGINT) AS marker_row, CAST(marker + 2 AS BIGINT) AS unit_row,
-        CAST(marker + 3 AS BIGINT) AS first_sample_row FROM {IN_FILES}""",
-    "header_roles": f"SELECT {FILE}, * EXCLUDE (month, marker) FROM {IN_FILES}",
+    "data_region": f"""SELECT file, team + 1 AS marker_row, team + 3 AS unit_row, team + 4 AS first_sample_row
+        FROM ({WORKBOOKS}) WHERE kind < 16""",
+    "header_roles": f"SELECT file, h.* EXCLUDE (kind) FROM ({WORKBOOKS}) JOIN {HEADERS} USING (kind)",
+    "load_first_files": f"""SELECT CAST('20' || file[16:17] AS INTEGER) AS year, CAST(file[18:19] AS INTEGER) AS month,
+        file, n AS parsed
+        FROM ({WORKBOOKS}) WHERE {GIVES_SAMPLES} QUALIFY row_number() OVER (PARTITION BY file[16:19] ORDER BY file) = 1""",
+    "number_readings": f"""SELECT file, sheet_row, CAST(100 + sheet_row - low + 1 + coalesce(
+          before, 0) AS BIGINT) AS id
+        FROM (SELECT *, sum(high - low + 1) OVER (ORDER BY file[16:19], file ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+              FROM ({WORKBOOKS}) WHERE {GIVES_SAMPLES})
+        JOIN (SELECT {WORKBOOK} AS file, id % 4 + 3 + id AS sheet_row FROM readings) USING (file)""",
     "decode_samples": f"""SELECT {FILE}, CAST(marker + 2 + id AS BIGINT) AS sheet_row, year, month, record_time, {channels()}
         FROM readings JOIN {LAYOUTS} USING (month) WHERE {GOOD}""",
     "rejects": f"""SELECT {FILE}, CAST(marker + 2 + id AS BIGINT) AS sheet_row, 'channel not a number in range' AS reason

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -52,6 +53,9 @@ class WorkArea:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{work_dir(spark)}/barograph-{uuid.uuid4().hex}"
+        # Held here, since a stopped session gives neither any more.
+        self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        _areas.add(self)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.path}/{name}"
@@ -59,10 +63,19 @@ class WorkArea:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:
-        jvm = self.spark.sparkContext._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        folder.getFileSystem(conf).delete(folder, True)
+        _areas.discard(self)
+        folder = self._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self._conf).delete(folder, True)
+
+
+#: Work areas of queries that are lazy, and so may still be read; they go when the driver ends.
+_areas: set[WorkArea] = set()
+
+
+@atexit.register
+def _drop_areas() -> None:
+    for area in list(_areas):
+        area.drop()
 
 
 @contextmanager

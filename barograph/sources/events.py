@@ -68,6 +68,89 @@ def file_name(month: Column) -> Column:
     return F.concat(F.lit(f"{prefix}{YEAR % 100:02d}"), F.lpad(month.cast("string"), 2, "0"), F.lit(suffix))
 
 
+# Time texts of the derived worksheet rows; all others are in the logger's own form.
+TIME_FORMS = {
+    4: "MM/dd/yyyy h:mm:ss a",
+    5: "MMM d, yyyy HH:mm:ss",
+    6: "d-MMM-yyyy HH:mm:ss",
+    7: "yyyy.MM.dd HH:mm:ss",
+    8: "yyyyMMdd HHmmss",
+    9: "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    10: "yyyy-MM-dd  HH:mm:ss",
+}
+
+
+def time_text() -> Column:
+    """The sample time in one of many forms, to the second."""
+    text = F.col("record_time").cast("string")
+    for form, pattern in TIME_FORMS.items():
+        text = F.when(F.col("id") % 11 == form, F.date_format("record_time", pattern)).otherwise(text)
+    return text
+
+
+# Unit rows of the derived workbooks, one per date and group of readings, in turn; each with
+# the position of the time column. Two more workbooks of a turn have no marker.
+UNIT_ROWS = [
+    (["NO.", "Time", "degC", "%", "W/m2", "lux", "degC"], 1),
+    (["NO.", "Time", "degC", "%", "lux"], 1),
+    (["NO.", "Time", "degC", "degC"], 1),
+    (["NO.", "Time", "degC", "degC", "degC"], 1),
+    (["NO.", "Time", "degC", "DEGC"], 1),
+    (["NO.", "Time", "W/m2", "W/m2"], 1),
+    (["NO.", "Time", "W/m2", "W/m2", "W/m2"], 1),
+    (["NO.", "Time", "lux", "lux"], 1),
+    (["NO.", "Time", "%", "%RH"], 1),
+    (["Number", "Time", "時間", "degC"], 2),
+    (["NO.", "Time", "", "degC", "rh"], 1),
+    (["NO.", "Time", "degC.1"], 1),
+    (["NO.", "Time", "1.1 degC", "degC"], 1),
+    (["NO.", "degC", "%"], None),
+    (["NO.", "Time", "degC", "degC.1", "degC"], 1),
+    (["NO.", "Time", "degC", "degC "], 1),
+]
+CASES = len(UNIT_ROWS) + 2
+GROUPS = 4
+
+
+def workbooks_from_readings(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    """Worksheet rows of one workbook per date and group of readings.
+
+    Every second group has a broken first channel in all of its samples, so the workbook gives none.
+    """
+    day = F.datediff(F.to_date("record_time"), F.lit("2024-01-01").cast("date"))
+    own = readings.select(
+        "id",
+        (F.col("id") % GROUPS).alias("team"),
+        F.date_format("record_time", "yyMM_dd").alias("dated"),
+        time_text().alias("time"),
+        day.alias("day"),
+    )
+    case = F.pmod(F.col("day") * GROUPS + F.col("team"), F.lit(CASES)).cast("int")
+    own = own.select(
+        "id",
+        "time",
+        "team",
+        case.alias("case"),
+        F.concat(F.lit("LOGGER RAWDATA_"), "dated", F.lit("_"), "team", F.lit(".xlsx")).alias("file"),
+    )
+    values, samples = F.when(F.col("team") % 2 == 0, F.lit("+++++")).otherwise(F.lit("1.5")), F.lit(None)
+    tops = []
+    for number, (units, at) in enumerate(UNIT_ROWS):
+        cells = [F.col("id").cast("string"), *[F.col("time") if i == at else values for i in range(1, len(units))]]
+        samples = F.when(F.col("case") == number, F.array(*cells)).otherwise(samples)
+        tops += [(number, 0, ["Model"]), (number, 1, ["Data"]), (number, 2, ["Number"]), (number, 3, units)]
+    for number in range(len(UNIT_ROWS), CASES):
+        tops += [(number, 0, ["Model"]), (number, 1, ["data"]), (number, 3, UNIT_ROWS[0][0])]
+    marker = F.col("team") + 1  # the workbooks of a turn begin at different rows
+    below = own.select("file", (marker + 2 + F.col("id")).alias("sheet_row"), F.col("id").cast("string").alias("lead"), samples.alias("cells"))
+    rows = [f"({number}, {line}, array('{"', '".join(cells)}'))" for number, line, cells in tops]
+    top = spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS top(case, line, cells)")
+    heads = F.broadcast(top).join(own.select("file", "case", "team").distinct(), "case")
+    row = F.when(F.col("line") == 0, F.lit(0).cast("long")).otherwise(F.col("team") + F.col("line"))
+    heads = heads.select("file", row.alias("sheet_row"), F.get("cells", F.lit(0)).alias("lead"), "cells")
+    return below.unionByName(heads).select(*RAW_ROWS.names)
+
+
 def raw_rows_from_readings(spark: SparkSession, readings: DataFrame) -> DataFrame:
     """Worksheet rows of one workbook per month: preamble, marker, field names, units and
     one sample row per reading, some with a blank time or an over-range temperature."""
@@ -76,7 +159,7 @@ def raw_rows_from_readings(spark: SparkSession, readings: DataFrame) -> DataFram
         "id",
         "month",
         F.col("id").cast("string").alias("lead"),
-        F.when(F.col("id") % 103 != 0, F.col("record_time").cast("string")).alias("time"),
+        F.when(F.col("id") % 103 != 0, time_text()).alias("time"),
         F.coalesce(broken, F.col(TEMPERATURE).cast("string")).alias(TEMPERATURE),
         *[F.col(c).cast("string").alias(c) for c in CHANNELS if c != TEMPERATURE],
     )

@@ -1,20 +1,25 @@
 """The stored tables: readings partitioned by file month, and daily statistics.
 
-Every table has numbered versions; a small ledger says which one is current. A rewrite
-goes to a new folder and becomes current by one more ledger row, so that a failure on the
-way leaves the table as it was. The ledger also reserves ids before rows are written. One
-writer at a time is assumed.
+Every load writes its readings to a folder of its own, every rewrite of another table to a
+new version. The ledger says what is current: which loads hold the rows of which file month,
+and the versions. It is one small file per entry; the last one holds the whole state. A
+failure before the last entry leaves the table as it was, on any store in which a single
+file appears whole. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barograph.schema import DAILY, MONTH_KEYS, READINGS, as_readings
+from barograph.sources import storage
 
-LEDGER = "entry bigint, table string, version int, last_id bigint"
+Month = tuple[int, int]
+ENTRIES_KEPT = 20
 
 
 class SensorTables:
@@ -24,31 +29,29 @@ class SensorTables:
 
     # Ledger
 
-    def _ledger(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(LEDGER).json(f"{self.root}/ledger")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], LEDGER)
-
-    def _state(self, table: str) -> tuple[int, int, int]:
-        """Current version and highest id handed out, 0 and 0 for a table never created, and
-        the number of ledger entries."""
-        of_table = F.when(F.col("table") == table, F.struct("version", "last_id"))
-        row = self._ledger().agg(
-            F.max_by(of_table, F.when(F.col("table") == table, F.col("entry"))).alias("state"),
-            F.coalesce(F.max("entry"), F.lit(0)).alias("entries"),
-        ).first()
-        return (*(row["state"] or (0, 0)), row["entries"])
-
-    def _enter(self, table: str, version: int, last_id: int, entries: int) -> None:
-        values = {"entry": entries + 1, "table": table, "version": version, "last_id": last_id}
-        row = self.spark.range(1).select(*[F.lit(value).alias(name) for name, value in values.items()])
-        row.coalesce(1).write.mode("append").json(f"{self.root}/ledger")
-
-    def _current_path(self, table: str) -> str:
-        return self._path(table, self._state(table)[0])
+    def _entry(self, number: int) -> str:
+        return f"{self.root}/ledger/entry-{number:010d}.json"
+
+    def _state(self) -> dict:
+        """What is current: the loads' file months, the highest id handed out, versions."""
+        entries = storage.matching(self.spark, f"{self.root}/ledger/entry-*.json")
+        if not entries:
+            return {"entry": 0, "last_id": 0, "last_load": 0, "loads": None, "versions": {}}
+        return json.loads(storage.read_text(self.spark, entries[-1]))
+
+    def _enter(self, state: dict, **changes) -> dict:
+        state = {**state, **changes, "entry": state["entry"] + 1}
+        storage.write_text(self.spark, self._entry(state["entry"]), json.dumps(state))
+        if state["entry"] > ENTRIES_KEPT:
+            storage.delete(self.spark, self._entry(state["entry"] - ENTRIES_KEPT))
+        return state
+
+    def _version(self, table: str) -> int:
+        return self._state()["versions"].get(table, 0)
+
+    def _enter_version(self, table: str, version: int) -> None:
+        state = self._state()
+        self._enter(state, versions={**state["versions"], table: version})
 
     def _path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v{version:06d}"
@@ -57,38 +60,71 @@ class SensorTables:
 
     def create(self) -> None:
         """Create the tables that do not exist yet, empty."""
-        if self._state("readings")[0] == 0:
-            self.replace_readings(self.spark.createDataFrame([], READINGS))
-        if self._state("daily_statistics")[0] == 0:
+        if self._state()["loads"] is None:
+            self._enter(self._state(), loads={})
+        if self._version("daily_statistics") == 0:
             self.replace_daily(self.spark.createDataFrame([], DAILY))
 
+    def _load_path(self, load: str) -> str:
+        return f"{self.root}/readings/load={load}"
+
     def readings(self) -> DataFrame:
-        return as_readings(self.spark.read.schema(READINGS).parquet(self._current_path("readings")))
+        loads = self._state()["loads"] or {}
+        paths = [f"{self._load_path(load)}/year={y}/month={m}" for load, months in loads.items() for y, m in months]
+        if not paths:
+            return self.spark.createDataFrame([], READINGS)
+        stored = T.StructType([*READINGS, T.StructField("load", T.StringType())])
+        reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/readings")
+        return as_readings(reader.parquet(*paths))
+
+    def months(self) -> list[Month]:
+        """The file months that have rows, from the ledger alone; at most 9,900."""
+        return sorted({(y, m) for months in (self._state()["loads"] or {}).values() for y, m in months})
+
+    def month_frame(self) -> DataFrame:
+        return self.spark.createDataFrame(self.months(), "year int, month int")
 
     def reserve_ids(self, count: int) -> int:
         """The id before the first of `count` new ones; a failed load leaves a gap."""
-        version, last_id, entries = self._state("readings")
-        self._enter("readings", version, last_id + count, entries)
-        return last_id
+        state = self._state()
+        self._enter(state, last_id=state["last_id"] + count)
+        return state["last_id"]
 
     def append_readings(self, readings: DataFrame) -> None:
-        self._write_months(readings, self._current_path("readings"), "append")
+        load, months = self._store(readings)
+        state = self._state()
+        self._enter(state, loads={**(state["loads"] or {}), load: months})
 
     def replace_months(self, readings: DataFrame) -> None:
-        """Overwrite the file months that occur in `readings` and no others."""
-        self._write_months(readings, self._current_path("readings"), "overwrite")
+        """Let `readings` stand for the file months that occur in them and for no others."""
+        load, months = self._store(readings)
+        state = self._state()
+        kept = {k: [m for m in own if m not in months] for k, own in (state["loads"] or {}).items()}
+        self._enter(state, loads={**{k: own for k, own in kept.items() if own}, load: months})
 
     def replace_readings(self, readings: DataFrame, last_id: int = 0) -> None:
         """Make `readings`, numbered up to ``last_id``, the whole table."""
-        version, _, entries = self._state("readings")
-        self._write_months(readings, self._path("readings", version + 1), "overwrite")
-        self._enter("readings", version + 1, last_id, entries)
+        load, months = self._store(readings)
+        self._enter(self._state(), loads={load: months}, last_id=last_id)
 
     def clear(self) -> None:
         """Empty the readings, keep their structure; ids start over, daily statistics stay."""
-        self.replace_readings(self.spark.createDataFrame([], READINGS))
+        self._enter(self._state(), loads={}, last_id=0)
 
-    def _write_months(self, readings: DataFrame, path: str, mode: str) -> None:
+    def _store(self, readings: DataFrame) -> tuple[str, list[list[int]]]:
+        """Write a load; its number, and the file months that it holds.
+
+        The number is taken before the rows are written, so what a failed load leaves behind
+        is never written to again.
+        """
+        state = self._state()
+        state = self._enter(state, last_load=state["last_load"] + 1)
+        load = f"{state['last_load']:06d}"
+        self._write_months(readings, self._load_path(load))
+        folders = storage.matching(self.spark, f"{self._load_path(load)}/year=*/month=*")
+        return load, [[int(part.partition("=")[2]) for part in folder.split("/")[-2:]] for folder in folders]
+
+    def _write_months(self, readings: DataFrame, path: str) -> None:
         """Files of one month each, sorted by time.
 
         Rebalancing gathers the rows of a small month into one file and splits those of a
@@ -99,8 +135,7 @@ class SensorTables:
             .withColumn("created_at", F.coalesce("created_at", F.current_timestamp()))
             .hint("rebalance", *MONTH_KEYS)
             .sortWithinPartitions(*MONTH_KEYS, "record_time")
-            .write.mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
+            .write.mode("errorifexists")
             .partitionBy(*MONTH_KEYS)
             .parquet(path)
         )
@@ -108,22 +143,22 @@ class SensorTables:
     # Daily statistics
 
     def daily_statistics(self) -> DataFrame:
-        return self.spark.read.schema(DAILY).parquet(self._current_path("daily_statistics"))
+        return self.spark.read.schema(DAILY).parquet(self._path("daily_statistics", self._version("daily_statistics")))
 
     def replace_daily(self, daily: DataFrame) -> None:
-        version, _, entries = self._state("daily_statistics")
-        daily.write.mode("overwrite").parquet(self._path("daily_statistics", version + 1))
-        self._enter("daily_statistics", version + 1, 0, entries)
+        version = self._version("daily_statistics") + 1
+        daily.write.mode("overwrite").parquet(self._path("daily_statistics", version))
+        self._enter_version("daily_statistics", version)
 
     # Import reports
 
     def record_import(self, summary: DataFrame, rejects: DataFrame) -> int:
         """Keep what an import did with each file and the rows it refused; returns its number."""
-        version, _, entries = self._state("imports")
-        summary.write.mode("overwrite").parquet(self._path("imports", version + 1))
-        rejects.write.mode("overwrite").parquet(self._path("rejects", version + 1))
-        self._enter("imports", version + 1, 0, entries)
-        return version + 1
+        version = self._version("imports") + 1
+        summary.write.mode("overwrite").parquet(self._path("imports", version))
+        rejects.write.mode("overwrite").parquet(self._path("rejects", version))
+        self._enter_version("imports", version)
+        return version
 
     def import_summary(self, number: int) -> DataFrame:
         return self.spark.read.parquet(self._path("imports", number))

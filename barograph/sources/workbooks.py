@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+import re
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,13 +19,14 @@ ROWS_PER_BATCH = 8192
 SOURCE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
-def workbook_glob(months: Iterable[tuple[int, int]] | None = None, prefix: str = fixed.WORKBOOK_PREFIX) -> str:
-    """Name pattern of the workbooks, optionally of some file months only, so that the
-    folder listing already leaves the others out."""
-    if months is None:
-        return f"{prefix}*{fixed.WORKBOOK_SUFFIX}"
-    parts = ",".join(sorted({f"{year - fixed.CENTURY:02d}{month:02d}" for year, month in months}))
-    return f"{prefix}{{{parts}}}*{fixed.WORKBOOK_SUFFIX}"
+def workbook_glob(prefix: str = fixed.WORKBOOK_PREFIX) -> str:
+    """Name pattern of the workbooks."""
+    return f"{prefix}*{fixed.WORKBOOK_SUFFIX}"
+
+
+def literal_path(path: str) -> str:
+    """A path as a pattern that matches it alone."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
 def is_lock_file() -> F.Column:
@@ -74,14 +76,17 @@ def raw_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def scan_files(files: DataFrame) -> DataFrame:
     """`raw_rows` of a frame of binary files. A worksheet is at most 1,048,576 rows by its
-    format, and is streamed; tasks hold the compressed file and one batch."""
+    format, and is streamed; a task holds the compressed workbooks of one input batch, which
+    the size of a scan partition bounds, and one batch of rows."""
     contents = files.where(~is_lock_file()).select("path", "content")
     return contents.mapInArrow(raw_batches, RAW_ROWS)
 
 
-def scan_workbooks(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
-    """`raw_rows` of all workbooks of a folder, or of the given files."""
+def scan_workbooks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """`raw_rows` of all workbooks of a folder, or of exactly the given files."""
     reader = spark.read.format("binaryFile")
     if isinstance(paths, str):
-        reader = reader.option("pathGlobFilter", pattern or workbook_glob())
-    return scan_files(reader.load(paths))
+        return scan_files(reader.option("pathGlobFilter", workbook_glob()).load(paths))
+    if not paths:
+        return spark.createDataFrame([], RAW_ROWS)
+    return scan_files(reader.load([literal_path(path) for path in paths]))

@@ -22,12 +22,14 @@ def watch_folder(
     """Load new workbooks batch by batch; without an ``interval``, all that are there now.
 
     The checkpoint remembers paths: a corrected workbook under its old name is not read
-    again, use a replacing import for that. A batch can be repeated after a failure, which
-    ``dedupe``, ``skip_existing`` and ``replace`` take without harm; ``append`` would store
-    it twice and is refused.
+    again, use a replacing import for that. Only ``dedupe`` is accepted: it stores the same
+    samples however the workbooks are spread over batches, also when a batch is repeated
+    after a failure. Of samples that repeat, the workbook that was there first keeps its own.
+    The other modes would double, refuse or overwrite what an earlier batch of the same month
+    has stored.
     """
-    if mode == "append":
-        raise ValueError("a repeated batch would be stored twice; use another mode")
+    if mode != "dedupe":
+        raise ValueError("only dedupe gives the same table for any size of batch")
     tables.create()
     files = (
         tables.spark.readStream.format("binaryFile")
@@ -38,7 +40,8 @@ def watch_folder(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        load_raw_rows(tables, scan_files(batch), mode, refresh_stats=refresh_stats)
+        arrivals = batch.selectExpr("path AS file", "modificationTime AS arrived")
+        load_raw_rows(tables, scan_files(batch), mode, refresh_stats=refresh_stats, arrivals=arrivals)
 
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

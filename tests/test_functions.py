@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from barograph import fixed
 from barograph.functions.calendar import floor_second, nearest_second
+from barograph.functions.cells import channel_value
 from barograph.functions.measures import mean, percentage
 from barograph.operators import daily, loading, quality, select_rows, summaries
+from barograph.operators.prefix import prefix_sums
 from barograph.schema import CHANNELS, READINGS, SAMPLE_KEYS, TEMPERATURE
+from barograph.session import WorkArea
 from barograph.sources.exports import write_csv
 
 
@@ -162,9 +165,37 @@ def test_numbering(spark):
     rows = [(f, y, m, 10 + 3 * i) for f, y, m, n in files for i in range(n)]
     random.Random(3).shuffle(rows)
     frame = spark.createDataFrame(rows, "file string, year int, month int, sheet_row long")
-    found = {(r["year"], r["month"], r["file"], r["sheet_row"]): r["id"] for r in loading.number_readings(frame, 100).collect()}
-    expected = sorted((y, m, f, row) for f, y, m, row in rows)
-    assert [found[key] for key in expected] == list(range(101, 101 + len(rows)))
+    offsets = loading.id_offsets(WorkArea(spark), frame)
+    numbered = loading.number_readings(frame, offsets, 100)
+    found = {(r["year"], r["month"], r["file"], r["sheet_row"]): r["id"] for r in numbered.collect()}
+    ids = [found[key] for key in sorted((y, m, f, row) for f, y, m, row in rows)]
+    assert ids == sorted(set(ids)) and len(ids) == len(rows)
+    assert ids[0] == 101 and ids[-1] <= 100 + offsets.agg(F.sum("span")).first()[0]
+    assert loading.number_readings(frame.limit(0), loading.id_offsets(WorkArea(spark), frame.limit(0)), 100).count() == 0
+
+
+def test_prefix_sums_in_many_ranges(spark):
+    rng = random.Random(8)
+    rows = [(rng.choice(["a", "b", None]), i, rng.randrange(5), rng.randrange(100)) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "g string, i long, k int, v long")
+    for group in ([], ["g"]):
+        got = {r.i: r["_before"] for r in prefix_sums(WorkArea(spark), frame, group, [F.col("k"), F.col("i")], "v", "sums").collect()}
+        so_far = Counter()
+        for g, i, _, v in sorted(rows, key=lambda r: (r[2], r[1])):
+            key = g if group else None
+            assert got[i] == so_far[key]
+            so_far[key] += v
+
+
+def test_two_parsers_of_numbers_agree(spark):
+    """Short texts go straight to decimals, long ones by way of doubles."""
+    rng = random.Random(9)
+    texts = ["0", "-0", "1e3", "+.5", "5.", "99999999.99", "-99999999.994", "0.005", "-0.005", "1e-20", "123456789012345"]
+    texts += [f"{rng.choice(['', '-', '+'])}{rng.randrange(10 ** rng.randrange(1, 9))}.{rng.randrange(10 ** rng.randrange(1, 7))}" for _ in range(500)]
+    frame = spark.createDataFrame([(t,) for t in texts if len(t) <= 16], "t string")
+    padded = F.rpad("t", 20, " ")  # the same number in a text that is too long for the short way
+    apart = frame.select("t", channel_value(F.col("t")).alias("short"), channel_value(padded).alias("long"))
+    assert apart.where("NOT (short <=> long)").collect() == []
 
 
 def test_daily_collisions(random_readings, random_rows):

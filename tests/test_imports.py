@@ -1,5 +1,6 @@
 """Imports from workbooks into the stored tables, end to end."""
 
+import os
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -62,7 +63,7 @@ def test_import_all(tables, folder):
     assert (july["parsed"], july["rejected"], july["blank"], july["inserted"], july["skipped"]) == (28, 1, 1, 28, 0)
     assert summary["2508.xlsx"]["inserted"] == 20
     rows = tables.readings().orderBy("id").collect()
-    assert [r["id"] for r in rows] == list(range(1, 49))
+    assert len({r["id"] for r in rows}) == 48 and rows[0]["id"] == 1
     assert [r["record_time"] for r in rows] == sorted(r["record_time"] for r in rows)
     first = rows[0]
     assert (first["year"], first["month"], first["record_time"]) == (2025, 7, START)
@@ -76,11 +77,11 @@ def test_import_all(tables, folder):
     imports.import_all(tables, str(folder))
     assert counts(tables) == {(2025, 7): 56, (2025, 8): 40}
     ids = [r["id"] for r in tables.readings().select("id").collect()]
-    assert sorted(ids) == list(range(1, 97))
+    assert len(set(ids)) == 96 and sorted(ids)[48] > rows[-1]["id"]
 
     imports.rebuild(tables, str(folder))
     assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
-    assert sorted(r["id"] for r in tables.readings().collect()) == list(range(1, 49))
+    assert sorted(r["id"] for r in tables.readings().collect()) == [r["id"] for r in rows]
     daily = {r["date"]: r for r in tables.daily_statistics().collect()}
     assert sorted(daily) == [date(2025, 7, 1), date(2025, 7, 2), date(2025, 8, 1)]
     assert daily[date(2025, 7, 1)]["record_count"] == 22
@@ -92,19 +93,29 @@ def test_import_new_skips_loaded_months(tables, folder):
     write_logger(folder, "LOGGER RAWDATA_ab12.xlsx", samples(START, 2))
     summary = by_name(imports.import_new(tables, str(folder)))
     assert summary["2506.xlsx"]["problem"].startswith("BadZipFile")
-    assert "ab12.xlsx" not in summary
+    assert summary["ab12.xlsx"]["problem"] == "month in the name is not a number"
     (folder / "LOGGER RAWDATA_2506.xlsx").unlink()
     assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
-    assert imports.import_new(tables, str(folder)) is None
+    summary = by_name(imports.import_new(tables, str(folder)))
+    assert {k: r["problem"] for k, r in summary.items() if k != "ab12.xlsx"} == dict.fromkeys(["2507.xlsx", "2508.xlsx"], imports.ALREADY_LOADED)
     write_logger(folder, "LOGGER RAWDATA_2509.xlsx", samples(datetime(2025, 9, 1), 10))
     write_logger(folder, "LOGGER RAWDATA_2509_b.xlsx", samples(datetime(2025, 9, 2), 10))
     status = {r["file"].rsplit("/", 1)[1]: r["already_loaded"] for r in imports.list_files(tables, str(folder)).collect()}
     assert list(status.values()) == [True, True, False, False, False]
-    summary = by_name(imports.import_new(tables, str(folder)))
-    assert len(summary) == 2
+    summary = imports.import_new(tables, str(folder)).collect()
+    assert [r["inserted"] for r in summary] == [0, 0, 10, 10, 0]
     assert counts(tables)[(2025, 9)] == 20
 
 
+def test_import_new_opens_what_it_lists(tables, folder):
+    """The listing reads the month after the first underscore, wherever else digits stand."""
+    write_logger(folder, "LOGGER RAWDATA_2507_b[1].xlsx", samples(datetime(2025, 7, 9), 5))
+    write_logger(folder, "X_2410_RAWDATA_2509.xlsx", samples(datetime(2024, 10, 1), 7))
+    summary = {r["file"].rsplit("/", 1)[1]: r["inserted"] for r in imports.import_new(tables, str(folder)).collect()}
+    assert summary == {"LOGGER RAWDATA_2507.xlsx": 28, "LOGGER RAWDATA_2507_b[1].xlsx": 5, "LOGGER RAWDATA_2508.xlsx": 20, "X_2410_RAWDATA_2509.xlsx": 7}
+    assert counts(tables) == {(2025, 7): 33, (2025, 8): 20, (2024, 10): 7}
+
+
 def test_first_file_per_month_only(tables, folder):
     write_logger(folder, "LOGGER RAWDATA_2507_b.xlsx", samples(datetime(2025, 7, 9), 5))
     summary = imports.import_new(tables, str(folder), first_file_per_month_only=True)
@@ -113,6 +124,27 @@ def test_first_file_per_month_only(tables, folder):
     assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
 
 
+def test_first_file_must_have_samples(tables, folder):
+    bad = samples(datetime(2025, 10, 1), 4)
+    for row in bad:
+        row[1] = "+++++"
+    write_logger(folder, "LOGGER RAWDATA_2510_a.xlsx", bad)
+    write_logger(folder, "LOGGER RAWDATA_2510_b.xlsx", samples(datetime(2025, 10, 1), 6))
+    imports.import_new(tables, str(folder), first_file_per_month_only=True)
+    assert counts(tables)[(2025, 10)] == 6
+
+
+def test_chosen_workbooks_count_once(tables, folder):
+    write_logger(folder, "LOGGER RAWDATA_2508_b[1].xlsx", samples(datetime(2025, 8, 9), 5))
+    _, invalid = imports.import_selected(tables, str(folder), [1, 1, 9, 9])
+    assert invalid == [9, 9] and counts(tables) == {(2025, 7): 28}
+    imports.import_selected(tables, str(folder), [2, 3])  # the second of a month that is loaded by then
+    assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
+    tables.clear()
+    imports.import_selected(tables, str(folder), [2, 3], first_file_per_month_only=False)
+    assert counts(tables) == {(2025, 8): 25}
+
+
 def test_import_selected(tables, folder):
     summary, invalid = imports.import_selected(tables, str(folder), [2, 7, 0])
     assert invalid == [7, 0]
@@ -153,10 +185,25 @@ def test_failed_rebuild_and_clear(tables, folder, monkeypatch):
     def fail(*_):
         raise RuntimeError("disk full")
 
-    with monkeypatch.context() as patch:
-        patch.setattr(SensorTables, "_write_months", fail)
-        with pytest.raises(RuntimeError):
-            imports.rebuild(tables, str(folder))
+    write = SensorTables._write_months
+
+    def fail_midway(self, readings, path):
+        write(self, readings.where("month = 7"), path)
+        raise RuntimeError("disk full")
+
+    before = tables.readings().orderBy("id").collect()
+    for broken in (fail, fail_midway):
+        with monkeypatch.context() as patch:
+            patch.setattr(SensorTables, "_write_months", broken)
+            with pytest.raises(RuntimeError):
+                imports.rebuild(tables, str(folder))
+            for mode in ("append", "replace"):
+                with pytest.raises(RuntimeError):
+                    imports.import_selected(tables, str(folder), [1, 2], on_existing=mode)
+        assert tables.readings().orderBy("id").collect() == before
+    imports.import_selected(tables, str(folder), [1], on_existing="append")
+    assert counts(tables) == {(2025, 7): 56, (2025, 8): 20}
+    imports.import_selected(tables, str(folder), [1], on_existing="replace")
     assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
 
     # Clearing keeps the structure, and the daily statistics.
@@ -203,8 +250,27 @@ def test_watch_folder(tables, folder, tmp_path):
     run()
     assert counts(tables) == {(2025, 7): 28, (2025, 8): 20, (2025, 9): 10}
     assert tables.daily_statistics().count() == 4
-    with pytest.raises(ValueError):
-        watch_folder(tables, str(folder), str(tmp_path / "other"), mode="append")
+    for mode in ("append", "skip_existing", "replace", "rebuild"):
+        with pytest.raises(ValueError):
+            watch_folder(tables, str(folder), str(tmp_path / "other"), mode=mode)
+
+
+def test_batches_do_not_matter(spark, folder, tmp_path):
+    """Workbooks of one month that repeat each other's samples, one by one or all at once."""
+    names = ["LOGGER RAWDATA_2507_z.xlsx", "LOGGER RAWDATA_2507_m.xlsx", "LOGGER RAWDATA_2507_a.xlsx"]
+    for i, name in enumerate(names):
+        write_logger(folder, name, samples(datetime(2025, 7, 1 + i), 40, base=30.0 + i))
+        os.utime(folder / name, (2e9 + i, 2e9 + i))  # the last by name came first
+    found = []
+    for size in (1, 1000):
+        tables = SensorTables(spark, str(tmp_path / f"tables-{size}"))
+        query = watch_folder(tables, str(folder), str(tmp_path / f"checkpoint-{size}"), files_per_batch=size, refresh_stats=False)
+        query.awaitTermination(120)
+        assert query.exception() is None
+        found.append(sorted(map(str, tables.readings().drop("id", "created_at").collect())))
+    assert found[0] == found[1]
+    hours = {datetime(2025, 7, 1 + i) + timedelta(hours=h) for i in range(3) for h in range(40)}
+    assert len(found[0]) == 20 + len(hours)
 
 
 def test_unknown_mode(tables):

@@ -125,7 +125,23 @@ SAMPLES = [
     (("8/1/2025 0:10:00", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
     (("13/01/2025", "25", "60"), (ingest.ACCEPTED, datetime(2025, 1, 13), "25.00", "60.00")),
     (("2025-02-30 00:10:00", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
-    (("2025-08-01 00:10:00+08:00", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("2025-08-01 00:10:00+08:00", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("2025-08-01T00:10:00Z", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("08/01/2025 12:10 AM", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("08/01/2025 1:10:05pm", "25", "60"), (ingest.ACCEPTED, datetime(2025, 8, 1, 13, 10, 5), "25.00", "60.00")),
+    (("2025-08-01 12:10 p.m.", "25", "60"), (ingest.ACCEPTED, datetime(2025, 8, 1, 12, 10), "25.00", "60.00")),
+    (("2025-08-01 13:10 PM", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("Aug 1, 2025 00:10", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("August 1 2025 00:10", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("1-Aug-2025 00:10", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("01 Sept 2025", "25", "60"), (ingest.ACCEPTED, datetime(2025, 9, 1), "25.00", "60.00")),
+    (("1-Foo-2025 00:10", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("2025.08.01 00:10:00", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("2025.8.1 0:9:59.75", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("20250801 001000", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("20250801", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("2025-08-01   00:10:00", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("2025-08-01 24:10:00", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
 ]
 
 

@@ -8,8 +8,9 @@ import pytest
 
 from barograph.operators import loading, quality, select_rows, summaries
 from barograph.plans.catalog import QUERIES
-from barograph.plans.imports import only_months
+from barograph.plans.imports import list_files, only_months
 from barograph.schema import CHANNELS, READINGS
+from barograph.session import WorkArea
 from barograph.sources.tables import SensorTables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -20,14 +21,19 @@ def plan(df):
 
 
 @pytest.fixture(scope="module")
-def stored(spark, tmp_path_factory):
+def stored_tables(spark, tmp_path_factory):
     tables = SensorTables(spark, str(tmp_path_factory.mktemp("tables")))
     rows = [
         (i, 2024, 1 + i % 3, datetime(2024, 1, 1) + timedelta(hours=i), *[Decimal(i)] * len(CHANNELS), None)
         for i in range(90)
     ]
     tables.replace_readings(spark.createDataFrame(rows, READINGS), 90)
-    return tables.readings()
+    return tables
+
+
+@pytest.fixture(scope="module")
+def stored(stored_tables):
+    return stored_tables.readings()
 
 
 def test_month_reports_prune_partitions_and_columns(stored):
@@ -36,9 +42,28 @@ def test_month_reports_prune_partitions_and_columns(stored):
     assert re.search(r"ReadSchema: struct<record_time:timestamp_ntz,channel1_temperature:decimal\(10,2\)>", text)
 
 
-def test_existing_months_reads_no_column(stored):
-    assert "ReadSchema: struct<>" in plan(loading.existing_months(stored))
-    assert {tuple(r) for r in loading.existing_months(stored).collect()} == {(2024, 1), (2024, 2), (2024, 3)}
+def test_stored_months_are_known_without_a_scan(spark, stored_tables, tmp_path):
+    assert stored_tables.months() == [(2024, 1), (2024, 2), (2024, 3)]
+    assert "FileScan" not in plan(loading.existing_months(stored_tables.month_frame()))
+    (tmp_path / "LOGGER RAWDATA_2402.xlsx").write_bytes(b"x")
+    status = list_files(stored_tables, str(tmp_path))
+    assert "parquet" not in plan(status) and status.first()["already_loaded"]
+    assert "ReadSchema: struct<>" in plan(loading.existing_months(stored_tables.readings()))
+
+
+def test_an_append_shuffles_the_samples_once(spark):
+    """Ids need a join with a row per file; the only exchange is the one that sizes the files."""
+    samples = spark.createDataFrame([("f", 2024, 1, 5, datetime(2024, 1, 1))], "file string, year int, month int, sheet_row long, record_time timestamp_ntz")
+    offsets = loading.id_offsets(WorkArea(spark), samples)
+    written = loading.number_readings(samples, offsets, 0).hint("rebalance", "year", "month")
+    text = plan(written)
+    assert len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", text)) == 1
+    assert "BroadcastHashJoin" in text and "Window" not in text
+
+
+def test_import_summary_reads_the_events_twice_at_most(spark):
+    text = plan(QUERIES["import_summary"](spark, SF_DIR))
+    assert text.count("events.parquet") <= 2
 
 
 def test_threshold_reaches_the_scan(stored):

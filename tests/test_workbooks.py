@@ -1,11 +1,15 @@
 """The worksheet scan, on generated files."""
 
+import os
+import subprocess
+import sys
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from xlsx_files import Sheet, write_xlsx
 
-from barograph.sources.workbooks import list_workbooks, scan_workbooks, workbook_glob
+from barograph.sources.workbooks import list_workbooks, scan_workbooks
 from barograph.sources.xlsx import date_text, first_sheet_rows, shows_date
 
 MORNING = datetime(2025, 8, 1, 0, 10)
@@ -89,8 +93,18 @@ def test_scan_folder(spark, tmp_path):
     assert cells == [(0, "Data", ["Data"]), (0, "Model", ["Model"]), (2, "1.5", ["1.5"])]
     assert names(raw.where("sheet_row = -1")) == ["LOGGER RAWDATA_2509.xlsx", "LOGGER RAWDATA_2510.xlsx"]
 
-    only = list_workbooks(spark, str(tmp_path), pattern=workbook_glob([(2025, 8), (2025, 7)]))
-    assert names(only) == ["LOGGER RAWDATA_2507.xlsx", "LOGGER RAWDATA_2508_v2.xlsx"]
+    only = scan_workbooks(spark, [r["file"] for r in list_workbooks(spark, str(tmp_path)).collect() if "_250" in r["file"]])
+    assert names(only) == ["LOGGER RAWDATA_2507.xlsx", "LOGGER RAWDATA_2508_v2.xlsx", "LOGGER RAWDATA_2509.xlsx"]
+    assert scan_workbooks(spark, []).count() == 0
+
+
+def test_names_are_no_patterns(spark, tmp_path):
+    for name in ("v[1]", "v1", "{a,b}", "a"):
+        write_xlsx(tmp_path / f"LOGGER RAWDATA_2507_{name}.xlsx", [Sheet([(0, ["Data"])])])
+    listed = [r["file"] for r in list_workbooks(spark, str(tmp_path)).collect()]
+    assert len(listed) == 4
+    for file in listed:
+        assert [r["file"] for r in scan_workbooks(spark, [file]).collect()] == [file]
 
 
 def test_more_rows_than_a_batch(spark, tmp_path):
@@ -111,3 +125,20 @@ def test_broken_off_sheet(spark, tmp_path):
     write_xlsx(path, [Cut([(0, ["Data"]), (1, ["x"])])])
     errors = scan_workbooks(spark, str(tmp_path)).where("sheet_row = -1").collect()
     assert len(errors) == 1 and "ExpatError" in errors[0]["lead"]
+
+
+def test_scan_from_another_folder(tmp_path):
+    """A scan runs wherever the driver was started, as long as the package is on the workers' path."""
+    write_xlsx(tmp_path / "LOGGER RAWDATA_2507.xlsx", [Sheet([(0, ["Data"])])])
+    root = Path(__file__).resolve().parent.parent
+    code = f"""
+from barograph.session import build_session
+from barograph.sources.workbooks import scan_workbooks
+spark = build_session("away", **{{"spark.master": "local[1]", "spark.ui.enabled": "false", "spark.checkpoint.dir": {str(tmp_path / "work")!r}}})
+print("rows:", scan_workbooks(spark, {str(tmp_path)!r}).count())
+"""
+    away = tmp_path / "elsewhere"
+    away.mkdir()
+    env = {**os.environ, "PYTHONPATH": str(root)}
+    done = subprocess.run([sys.executable, "-c", code], cwd=away, env=env, capture_output=True, text=True, timeout=180)
+    assert "rows: 1" in done.stdout, done.stderr[-2000:]
