@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barograph.llm.ranking import prefix_sums, ranged
 from barograph.llm.words import WORD
+from barograph.operators.prefix import prefix_sums, ranged
 from barograph.session import WorkArea
 
 WEIGHTS = (1, 2, 3)
