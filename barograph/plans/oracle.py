@@ -139,7 +139,6 @@ GROUP BY 1"""
 LAYOUTS = """(VALUES (1, 2, 1, 2, 3, 4, 5, 6), (2, 3, 1, 3, 5, 6, 2, 4), (3, 4, 1, 2, 3, 4, 5, NULL))
   AS layout(month, marker, time_pos, ch1_pos, ch2_pos, ch3_pos, ch4_pos, ch5_pos)"""
 FILE = "'LOGGER RAWDATA_240' || month || '.xlsx' AS file"
-IN_FILES = f"{LAYOUTS} SEMI JOIN readings USING (month)"
 
 # One workbook per date and group of readings; the kind is the header case, 16 and 17 have no marker.
 WORKBOOK = "'LOGGER RAWDATA_' || strftime(record_time, '%y%m_%d') || '_' || (id % 4) || '.xlsx'"
