@@ -36,11 +36,18 @@ _SUBS = 32
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+#: Kinds of rows that come to a block: its own runs, repeated anchors, hot anchors, repeated strings of hot anchors.
+OWN_RUNS, COMMON, HOT_ANCHOR, HOT_STRING = range(-1, 3)
+
+
 class Runs:
     """The block's strings by anchor: runs of neighbouring starts that have the same anchor at the same place."""
 
-    def __init__(self, texts: Texts):
-        self.texts = texts
+    def __init__(self, texts: Texts, anchor: np.ndarray, first: np.ndarray, count: np.ndarray):
+        self.texts, self.anchor, self.first, self.count = texts, anchor, first, count
+
+    @classmethod
+    def scan(cls, texts: Texts) -> Runs:
         total = len(texts.data)
         steps = np.zeros(total + 1, np.int32)
         whole = np.diff(texts.offsets) >= LENGTH
@@ -49,11 +56,21 @@ class Runs:
         is_start = np.cumsum(steps[:-1]) > 0
         found = [(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
         for a in range(0, total, _PIECE):
-            found.append(self._piece(a, is_start[a : a + _PIECE]))
-        self.anchor, self.first, self.count = (np.concatenate(x) for x in zip(*found, strict=True))
-
-    def _piece(self, a: int, is_start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        data = self.texts.data[a : a + _PIECE + LENGTH - 1]
+            found.append(cls._piece(texts, a, is_start[a : a + _PIECE]))
+        return cls(texts, *(np.concatenate(x) for x in zip(*found, strict=True)))
+
+    @classmethod
+    def read(cls, block: pd.DataFrame, reply: pd.DataFrame) -> Runs | None:
+        """The runs that ``anchors`` found, from the block and the rows that came to it."""
+        own = reply[reply["kind"] == OWN_RUNS]
+        if block.empty or own.empty:
+            return None
+        anchor = np.frombuffer(own["keys"].iloc[0], np.uint64)
+        return cls(Texts(block["packed"].iloc[0]), anchor, stretch(own["firsts"].iloc[0]), stretch(own["counts"].iloc[0]))
+
+    @staticmethod
+    def _piece(texts: Texts, a: int, is_start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        data = texts.data[a : a + _PIECE + LENGTH - 1]
         grams = window_hashes(_BYTE[data], GRAM, 3)
         n = len(data) - LENGTH + 1
         starts = np.flatnonzero(is_start[: max(n, 0)])
@@ -93,19 +110,28 @@ def _by_part(keys: np.ndarray, slices: int) -> list[tuple[int, np.ndarray]]:
 
 def _key_messages(block: int, keys: np.ndarray, slices: int) -> list[tuple]:
     keys, counts = np.unique(keys, return_counts=True)
-    return [(k, block, keys[x].tobytes(), squeeze(counts[x])) for k, x in _by_part(keys, slices)]
+    return [(k, block, keys[x].tobytes(), squeeze(counts[x]), None) for k, x in _by_part(keys, slices)]
+
+
+MESSAGES = "part int, block long, keys binary, counts binary, firsts binary"
+MESSAGE = [c.split()[0] for c in MESSAGES.split(", ")]
 
 
 def anchors(blocks: DataFrame, slices: int) -> DataFrame:
-    """part, block, keys and counts: the anchors of each block."""
+    """part, block, keys and counts: the anchors of each block.
+
+    A row of part -1 keeps the block's runs, with ``firsts``, so that later steps needn't look for them again.
+    """
 
     def rows(batches):
         for batch in batches:
             for block, packed in zip(batch["block"], batch["packed"], strict=True):
-                out = _key_messages(block, Runs(Texts(packed)).anchor, slices)
-                yield pd.DataFrame(out, columns=["part", "block", "keys", "counts"])
+                runs = Runs.scan(Texts(packed))
+                out = _key_messages(block, runs.anchor, slices)
+                out.append((-1, block, runs.anchor.tobytes(), squeeze(runs.count), squeeze(runs.first)))
+                yield pd.DataFrame(out, columns=MESSAGE)
 
-    return blocks.select("block", "packed").mapInPandas(rows, "part int, block long, keys binary, counts binary")
+    return blocks.select("block", "packed").mapInPandas(rows, MESSAGES)
 
 
 def repeated_keys(messages: DataFrame, limit: int) -> DataFrame:
@@ -142,15 +168,14 @@ def hot_strings(blocks: DataFrame, replies: DataFrame, slices: int) -> DataFrame
     """part, block, keys and counts: hashes of the strings that have a hot anchor."""
 
     def rows(key: tuple, block: pd.DataFrame, reply: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(block) and len(reply):
-            runs = Runs(Texts(block["packed"].iloc[0]))
-            _, hashes = runs.strings(_among(runs.anchor, _keys(reply)))
+        out, hot = [], reply[reply["kind"] == HOT_ANCHOR]
+        if len(hot):
+            runs = Runs.read(block, reply)
+            _, hashes = runs.strings(_among(runs.anchor, _keys(hot)))
             out = _key_messages(block["block"].iloc[0], hashes, slices)
-        return pd.DataFrame(out, columns=["part", "block", "keys", "counts"])
+        return pd.DataFrame(out, columns=MESSAGE)
 
-    hot = replies.filter("hot")
-    return blocks.groupBy("block").cogroup(hot.groupBy("block")).applyInPandas(rows, "part int, block long, keys binary, counts binary")
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(rows, MESSAGES)
 
 
 def segments(blocks: DataFrame, replies: DataFrame, slices: int) -> DataFrame:
@@ -161,13 +186,12 @@ def segments(blocks: DataFrame, replies: DataFrame, slices: int) -> DataFrame:
     columns = ["part", "block", "subs", "wanted", "starts", "text"]
 
     def send(key: tuple, block: pd.DataFrame, reply: pd.DataFrame) -> pd.DataFrame:
-        if block.empty or reply.empty:
+        runs, kind = Runs.read(block, reply), reply["kind"]
+        if runs is None or not (kind != OWN_RUNS).any():
             return pd.DataFrame([], columns=columns)
-        runs = Runs(Texts(block["packed"].iloc[0]))
-        kind = reply["kind"]
-        common = _among(runs.anchor, _keys(reply[kind == 0]))
-        starts, hashes = runs.strings(_among(runs.anchor, _keys(reply[kind == 1])))
-        twice = _among(hashes, _keys(reply[kind == 2]))
+        common = _among(runs.anchor, _keys(reply[kind == COMMON]))
+        starts, hashes = runs.strings(_among(runs.anchor, _keys(reply[kind == HOT_ANCHOR])))
+        twice = _among(hashes, _keys(reply[kind == HOT_STRING]))
         keys = np.concatenate([runs.anchor[common], hashes[twice]])
         first = np.concatenate([runs.first[common], starts[twice]])
         count = np.concatenate([runs.count[common], np.ones(int(twice.sum()), np.int64)])
@@ -241,26 +265,33 @@ def repeated_strings(messages: DataFrame, slices: int) -> DataFrame:
     )
 
 
+def removed_spans(texts: Texts, starts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and row of the longest spans that strings from the given starts cover, none across rows."""
+    begin = np.sort(np.concatenate([np.zeros(0, np.int64), *starts]))
+    row = np.searchsorted(texts.offsets, begin, side="right") - 1
+    new = np.ones(len(begin), bool)
+    new[1:] = (np.diff(begin) > LENGTH) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(begin))[: len(first)] - 1
+    return begin[first], begin[last] + LENGTH, row[first]
+
+
 def kept_bytes(blocks: DataFrame, found: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept, the bytes that no such string covers."""
 
     def keep(key: tuple, block: pd.DataFrame, reply: pd.DataFrame) -> pd.DataFrame:
         texts = Texts(block["packed"].iloc[0])
-        steps = np.zeros(len(texts.data) + 1, np.int32)
-        for packed in reply["starts"]:
-            starts = stretch(packed)
-            np.add.at(steps, starts, 1)
-            np.add.at(steps, starts + LENGTH, -1)
-        gone = np.cumsum(steps[:-1]) > 0
-        edge = gone.copy()
-        edge[1:] &= ~gone[:-1]
-        edge[texts.offsets[:-1][np.diff(texts.offsets) > 0]] = gone[texts.offsets[:-1][np.diff(texts.offsets) > 0]]
-        removed, spans = (np.concatenate([[0], np.cumsum(x)])[texts.offsets] for x in (gone, edge))
-        stays = texts.data[~gone].tobytes()
-        bounds = texts.offsets - removed
-        rows = [stays[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        begin, end, row = removed_spans(texts, [stretch(packed) for packed in reply["starts"]])
+        stay = np.ones(len(texts.data), bool)
+        for a, b in zip(begin.tolist(), end.tolist(), strict=True):
+            stay[a:b] = False
+        n = len(texts.ids)
+        removed, spans = np.bincount(row, end - begin, minlength=n).astype(np.int64), np.bincount(row, minlength=n)
+        stays = texts.data[stay].tobytes()
+        bounds = np.concatenate([[0], np.cumsum(np.diff(texts.offsets) - removed)]).tolist()
+        rows = [stays[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         frame = pd.DataFrame({"doc_id": pd.array(texts.doc_ids(), dtype="Int64"), "n_bytes": np.diff(texts.offsets)})
-        return frame.assign(n_removed=np.diff(removed), n_spans=np.diff(spans), kept=rows)
+        return frame.assign(n_removed=removed, n_spans=spans, kept=rows)
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
     return blocks.groupBy("block").cogroup(found.groupBy("block")).applyInPandas(keep, schema)
@@ -272,12 +303,14 @@ def without_repeated_bytes(spark: SparkSession, docs: DataFrame, hot: int = HOT)
     size = text_bytes(docs)
     slices = max(1, -(-size // SLICE_BYTES))
     blocks = packed_blocks(area, docs, size)
-    replies = area.stage(repeated_keys(anchors(blocks, slices), hot), "anchors")
-    kinds = replies.select("block", "keys", F.col("hot").cast("int").alias("kind"))
+    told = area.stage(anchors(blocks, slices), "anchors")
+    replies = area.stage(repeated_keys(told.filter("part >= 0"), hot), "repeated-anchors")
+    runs = told.filter("part < 0").select("block", "keys", "counts", "firsts", F.lit(OWN_RUNS).alias("kind"))
+    both = runs.unionByName(replies.select("block", "keys", F.col("hot").cast("int").alias("kind")), allowMissingColumns=True)
     if not replies.filter("hot").isEmpty():
-        strings = area.stage(repeated_keys(hot_strings(blocks, replies, slices), hot), "strings")
-        kinds = kinds.union(strings.select("block", "keys", F.lit(2)))
-    found = area.stage(repeated_strings(segments(blocks, kinds, slices), slices), "repeats")
+        strings = area.stage(repeated_keys(hot_strings(blocks, both, slices), hot), "strings")
+        both = both.unionByName(strings.select("block", "keys", F.lit(HOT_STRING).alias("kind")), allowMissingColumns=True)
+    found = area.stage(repeated_strings(segments(blocks, both, slices), slices), "repeats")
     return kept_bytes(blocks, found)
 
 
