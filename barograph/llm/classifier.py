@@ -25,7 +25,7 @@ from barograph.llm.words import flat, spans, word_hashes
 
 SAMPLE = 8000
 _STEPS, _RATE, _DECAY = 400, 0.05, 1e-4
-_CHUNK = 2 << 20
+_CHUNK = 1 << 20
 
 _SINGLE = b".,!?;:|%$&*#@-_'\"()/<>=+"
 _CLASSES = 32
@@ -88,7 +88,7 @@ def features(texts: pa.Array) -> Iterator[np.ndarray]:
     data, offsets = flat(texts)
     at = 0
     while at < len(offsets) - 1:
-        to = min(len(offsets) - 1, at + 1024, max(at + 1, int(np.searchsorted(offsets, offsets[at] + _CHUNK, side="right")) - 1))
+        to = min(len(offsets) - 1, at + 512, max(at + 1, int(np.searchsorted(offsets, offsets[at] + _CHUNK, side="right")) - 1))
         yield _features(data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at])
         at = to
 

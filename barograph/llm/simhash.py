@@ -15,7 +15,6 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +27,7 @@ from barograph.session import WorkArea
 SHINGLE, SEED, DISTANCE = 3, 42, 3
 #: Fingerprints that share a variant are compared with each other up to this number, and cut again beyond it.
 GROUP_LIMIT = 4096
+PRINTS_PER_TASK = 20_000
 
 _AT_ONCE = 1 << 15
 
@@ -51,9 +51,14 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-@F.pandas_udf(T.LongType())
-def fingerprints(texts: pd.Series) -> pd.Series:
-    return pd.Series(np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64))
+_TEXTS_AT_ONCE = 256
+
+
+@F.arrow_udf(T.LongType())
+def fingerprints(texts: pa.Array) -> pa.Array:
+    """Only some texts at a time become Python strings; a batch may hold ten thousand."""
+    parts = (texts.slice(at, _TEXTS_AT_ONCE).to_pylist() for at in range(0, len(texts), _TEXTS_AT_ONCE))
+    return pa.array(np.array([fingerprint(t) for part in parts for t in part], dtype=np.uint64).view(np.int64))
 
 
 def variants(half: str, bits: int) -> list[str]:
@@ -101,6 +106,8 @@ def near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def links(area: WorkArea, prints: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
     """Links a–b that join the distinct fingerprints ``fp`` of ``prints`` as all pairs within the distance would."""
+    # The table is small before each row becomes 64, so its tasks would be few and large.
+    prints = prints.repartition(max(8, -(-prints.count() // PRINTS_PER_TASK)), "fp")
     high, low = "shiftrightunsigned(fp, 32)", "(fp & 4294967295L)"
     halves = [*variants(high, 32), *[f"({v}) | (1L << 48)" for v in variants(low, 32)]]
     keyed = prints.select(F.explode(F.expr(f"array({', '.join(halves)})")).alias("k1"), "fp")
