@@ -53,8 +53,9 @@ def components(area: WorkArea, links: DataFrame, name: str) -> DataFrame:
     """node and component (smallest node reachable) for every node of ``links`` (a, b: long).
 
     Each task first replaces its links by a forest. Then large-star and small-star rounds link every node to the
-    smallest of its neighbours until no link changes. A round joins each link with one row per node, so a node of
-    many links is only the repeated side of a join, which adaptive execution can split.
+    smallest of its neighbours until no link changes. A round joins each link with one row per node. These rows are
+    staged first: where they are few, the join is a broadcast of known size, and where they are many, a join of two plain
+    shuffles, in which adaptive execution can split a node of many links.
     """
     links = area.stage(links.select("a", "b").mapInArrow(forest, "a long, b long").filter("a <> b"), f"{name}-links-0")
     step = 0
@@ -62,10 +63,12 @@ def components(area: WorkArea, links: DataFrame, name: str) -> DataFrame:
         step += 1
         both = links.union(links.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("low"))
+        least = area.stage(least, f"{name}-least-{step}-large")
         large = both.filter("b > a").join(least, F.col("a") == F.col("node")).select(F.col("low").alias("a"), "b")
         large = area.stage(large.filter("a <> b").distinct(), f"{name}-links-{step}-large")
         down = large.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         low = down.groupBy("u").agg(F.min("v").alias("low")).select(F.col("u").alias("node"), "low")
+        low = area.stage(low, f"{name}-least-{step}")
         joined = down.join(low, F.col("u") == F.col("node"))
         small = joined.select(F.col("low").alias("a"), F.col("v").alias("b")).union(low.select(F.col("low").alias("a"), F.col("node").alias("b")))
         small = area.stage(small.filter("a <> b").distinct(), f"{name}-links-{step}")
