@@ -1,10 +1,14 @@
 """Document scores by masked pseudo-likelihood.
 
 A small network predicts every word from the two words before and the two after it. It sums one vector per neighbour and
-place, and gives the word's probability in two steps: its class, then the word within the class. A document's score is
+place, and gives the word's probability in two steps: its class, then the id within the class. A document's score is
 the sum of the logarithms of these probabilities over all of its words.
 
-Words are counted over the whole corpus; the most frequent have ids of their own, the others share ids by hash. Training
+Words are counted over the whole corpus; the most frequent have ids of their own, the others share ids by hash. A word of
+a shared id has its own part of the id's probability, by its count in the corpus: ``n_word / (n_id + 1)``. What is left is
+for words that the corpus doesn't have; an id is taken to have as many of them as it has known ones on average, and one
+more, and each gets an equal part. So the probabilities of different words sum to one. The counts are looked up by messages: stretches of documents send the
+different words that they have to groups of words, which answer with the counts; no task holds all words. Training
 runs where the documents are: in each round every task goes on from the common weights with its share of words, every
 document included, and the tasks' weights are averaged by the number of words, in two levels, so that no task gathers more
 than the square root of all. What a round sends grows with the corpus; the network itself has a fixed size.
@@ -16,6 +20,7 @@ mark in place of a neighbour; rows alike get the same score up to rounding; ties
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -23,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barograph.llm.blocks import BLOCK_BYTES, NO_ID, text_bytes
 from barograph.llm.words import flat, spans, word_hashes
 from barograph.session import WorkArea
 
@@ -34,6 +40,8 @@ ROUNDS, SHARE = 3, 10
 _BATCH, _RATE = 4096, 0.15
 _CHUNK = 1 << 20
 _SLICES = 16
+#: Text for each group of words, and the least number of groups.
+GROUP_BYTES, LEAST_GROUPS = 64 << 20, 64
 
 SHAPES = {
     "near": (2 * REACH, IDS + 1, WIDTH),
@@ -66,6 +74,21 @@ def unpacked(flat_weights: np.ndarray) -> dict[str, np.ndarray]:
     return {k: p.reshape(s).copy() for (k, s), p in zip(SHAPES.items(), parts, strict=True)}
 
 
+class Model(NamedTuple):
+    """``counts`` has hash and n of all words, ``shared`` the number of words of each shared id; ``unseen`` is the number
+    of different words unknown to the corpus that such an id is taken to have."""
+
+    frequent: np.ndarray
+    weights: np.ndarray
+    counts: DataFrame
+    shared: np.ndarray
+    unseen: float
+
+
+def shared_ids(hashes: np.ndarray) -> np.ndarray:
+    return (OWN_IDS + (hashes >> np.uint64(33)) % np.uint64(IDS - OWN_IDS)).astype(np.int64)
+
+
 class Vocabulary:
     """Ids of word hashes."""
 
@@ -74,7 +97,7 @@ class Vocabulary:
         self.sorted = frequent[self.order]
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
-        shared = (OWN_IDS + (hashes >> np.uint64(33)) % np.uint64(IDS - OWN_IDS)).astype(np.int64)
+        shared = shared_ids(hashes)
         if not len(self.sorted):
             return shared
         at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
@@ -228,37 +251,117 @@ def trained(area: WorkArea, docs: DataFrame, frequent: np.ndarray, weights: np.n
     return np.concatenate([np.frombuffer(bytes(r.weights), np.float32) for r in sorted(whole, key=lambda r: r.slice)])
 
 
-def fit(spark: SparkSession, docs: DataFrame, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of the frequent words, most frequent first, and the weights."""
+def shared_counts(counts: DataFrame, top: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, float]:
+    """Words of each shared id, and how many unknown ones it is taken to have; ``top`` are the words with ids of their own."""
+    own_id = F.expr(f"shiftrightunsigned(hash, 33) % {IDS - OWN_IDS}").cast("int").alias("id")
+    held = counts.groupBy(own_id).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).collect()
+    out = np.zeros(IDS - OWN_IDS)
+    out[[r.id for r in held]] = [r.n for r in held]
+    np.subtract.at(out, shared_ids(top) - OWN_IDS, n)
+    return out, (sum(r.words for r in held) - len(top)) / len(out) + 1
+
+
+def fit(spark: SparkSession, docs: DataFrame, rounds: int = ROUNDS) -> Model:
+    """The hashes of the frequent words, most frequent first, the weights, and the counts."""
     area = WorkArea(spark)
     counts = area.stage(word_counts(docs), "words")
     top = counts.orderBy(F.desc("n"), "hash").limit(OWN_IDS).collect()
     frequent = np.array([r.hash for r in top], dtype=np.int64).view(np.uint64)
     by_id = np.zeros(IDS)
     by_id[: len(top)] = [r.n for r in top]
-    others = (counts.agg(F.sum("n")).first()[0] or 0) - by_id.sum()
-    by_id[OWN_IDS:] = others / (IDS - OWN_IDS)
+    shared, unseen = shared_counts(counts, frequent, by_id[: len(top)])
+    by_id[len(top) : OWN_IDS] = 1e-6 - 1  # no word has them
+    by_id[OWN_IDS:] = shared
     weights = packed(initial(by_id))
     for turn in range(rounds):
         weights = trained(area, docs, frequent, weights, turn)
-    return frequent, weights
+    return Model(frequent, weights, counts, shared, unseen)
 
 
-def scores(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """doc_id, n_words and log_likelihood, the sum over the document's words."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+_PARTS = ["ids", "known", "n_words", "sums", "rare", "places"]
+
+
+def _asking(docs: DataFrame, model: Model, groups: int) -> DataFrame:
+    """Stretches of documents: block, their sums by id, where words of shared ids stand, and these words by group."""
+    held = docs.sparkSession.sparkContext.broadcast((model.frequent, model.weights))
+
+    def closed(block: int, parts: list[tuple], found: list[np.ndarray]) -> pa.RecordBatch:
+        words, places = np.unique(np.concatenate(found), return_inverse=True)
+        group = (words >> np.uint64(20)) % np.uint64(groups)
+        order = np.argsort(group, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        some, first = np.unique(group[order], return_index=True)
+        asked = [{"part": int(k), "words": w.tobytes()} for k, w in zip(some, np.split(words[order], first[1:]), strict=False)]
+        columns = [np.concatenate(x).tobytes() for x in zip(*parts, strict=True)] + [rank[places].astype(np.uint32).tobytes()]
+        kind = pa.list_(pa.struct([("part", pa.int32()), ("words", pa.binary())]))
+        return pa.RecordBatch.from_arrays([pa.array([block]), *[pa.array([c]) for c in columns], pa.array([asked], kind)], ["block", *_PARTS, "asked"])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, weights = held.value
         vocabulary, w = Vocabulary(frequent), unpacked(weights)
+        parts: list[tuple] = []
+        found: list[np.ndarray] = []
+        size = block = 0
         for batch in batches:
+            column = batch.column("doc_id")
+            doc, known = column.fill_null(NO_ID).to_numpy(), column.is_valid().to_numpy(zero_copy_only=False)
             for a, b, hashes, row in chunks(batch.column("text")):
+                if not parts:
+                    block = batch.column("number")[a].as_py()
                 ids = vocabulary.ids(hashes)
                 p = log_probabilities(w, neighbours(ids, row), ids)
-                columns = [batch.column("doc_id").slice(a, b - a), pa.array(np.bincount(row, minlength=b - a)), pa.array(np.bincount(row, p, minlength=b - a))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_words", "log_likelihood"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, n_words long, log_likelihood double")
+                rare = np.flatnonzero(ids >= OWN_IDS)
+                n, n_rare = np.bincount(row, minlength=b - a), np.bincount(row[rare], minlength=b - a)
+                parts.append((doc[a:b], known[a:b], n, np.bincount(row, p, minlength=b - a), n_rare))
+                found.append(hashes[rare])
+                size += len(hashes)
+                if size >= BLOCK_BYTES // 8 or len(parts) >= 1000:
+                    yield closed(block, parts, found)
+                    parts, found, size = [], [], 0
+        if parts:
+            yield closed(block, parts, found)
+
+    schema = f"block long, {', '.join(f'{c} binary' for c in _PARTS)}, asked array<struct<part: int, words: binary>>"
+    numbered = docs.select(F.monotonically_increasing_id().alias("number"), F.col("doc_id").cast("long"), "text")
+    return numbered.mapInArrow(rows, schema)
+
+
+def scores(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_words and log_likelihood, the sum over the document's words."""
+    area = WorkArea(docs.sparkSession)
+    groups = max(LEAST_GROUPS, -(-text_bytes(docs) // GROUP_BYTES))
+    shared, unseen = model.shared, model.unseen
+
+    def answer(asked: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+        """Logarithm of each asked word's part of its id."""
+        hashes, n = counts["hash"].to_numpy(np.int64).view(np.uint64), counts["n"].to_numpy(np.int64)
+        order = np.argsort(hashes)
+        hashes, n = np.append(hashes[order], np.uint64(0)), np.append(n[order], 0)
+        out = []
+        for block, part, words in zip(asked["block"], asked["part"], asked["words"], strict=True):
+            words = np.frombuffer(words, np.uint64)
+            at, own = np.searchsorted(hashes[:-1], words), shared_ids(words) - OWN_IDS
+            known = (hashes[at] == words) & (n[at] > 0)
+            share = np.log(np.where(known, n[at], 1 / unseen)) - np.log(shared[own] + 1)
+            out.append((block, part, share.tobytes()))
+        return pd.DataFrame(out, columns=["block", "part", "shares"])
+
+    def add(block: pd.DataFrame, shares: pd.DataFrame) -> pd.DataFrame:
+        kinds = (np.int64, bool, np.int64, np.float64, np.int64, np.uint32)
+        ids, known, n_words, sums, rare, places = (np.frombuffer(block[c].iloc[0], t) for c, t in zip(_PARTS, kinds, strict=True))
+        share = np.frombuffer(b"".join(shares.sort_values("part")["shares"]), np.float64)
+        sums = sums + np.bincount(np.repeat(np.arange(len(ids)), rare), share[places], minlength=len(ids))
+        doc_id = pd.Series(ids, dtype="Int64").where(pd.Series(known))
+        return pd.DataFrame({"doc_id": doc_id, "n_words": n_words, "log_likelihood": sums})
+
+    blocks = area.stage(_asking(docs, model, groups), "blocks")
+    asked = blocks.select("block", F.explode("asked").alias("a")).select("block", "a.part", "a.words")
+    counts = model.counts.select("hash", "n", F.expr(f"int(shiftrightunsigned(hash, 20) % {groups})").alias("part"))
+    found = asked.groupBy("part").cogroup(counts.groupBy("part")).applyInPandas(answer, "block long, part int, shares binary")
+    found = area.stage(found, "shares")
+    own = blocks.select("block", *_PARTS).groupBy("block").cogroup(found.groupBy("block"))
+    return own.applyInPandas(add, "doc_id long, n_words long, log_likelihood double")
 
 
 def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,6 +127,25 @@ def test_scores_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     assert not pl.scores(no_docs, pl.fit(spark, no_docs)).collect()
 
 
+def test_words_of_shared_ids_have_their_own_probability(spark):
+    """Far more words than ids: different words sum to one, and words never seen score below all real ones."""
+    random.seed(15)
+    words = [f"w{i}x" for i in range(9000)]
+    text = [w for i, w in enumerate(words) for _ in range(1 + 8000 // (i + 1))]
+    random.shuffle(text)
+    docs = spark.createDataFrame([(i, " ".join(text[i::60])) for i in range(60)], "doc_id long, text string").repartition(3)
+    model = pl.fit(spark, docs, 0)
+    never = [f"n{random.getrandbits(60):x}" for _ in range(500)]
+    single = spark.createDataFrame(list(enumerate(words + never)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.log_likelihood for r in pl.scores(single, model).collect()}
+    p = np.exp([got[i] for i in range(len(words) + len(never))])
+    real, unseen = p[: len(words)], p[len(words) :]
+    assert unseen.max() < real.min()
+    assert np.corrcoef(np.log(real), np.log([1 + 8000 // (i + 1) for i in range(9000)]))[0, 1] > 0.95
+    # One word of each shared id's count is left for words never seen.
+    assert 0.9 < real.sum() < 1 and real.sum() == pytest.approx(1 - 1024 / len(text), abs=0.02)
+
+
 # Mixing
 
 
