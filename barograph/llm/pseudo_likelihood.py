@@ -35,8 +35,8 @@ from barograph.session import WorkArea
 CLASSES, MEMBERS, OWN_IDS = 64, 64, 3072
 IDS = CLASSES * MEMBERS
 REACH, WIDTH = 2, 16
-#: A round trains on every ``SHARE``-th word of each task's documents.
-ROUNDS, SHARE = 3, 10
+#: A round trains on every ``ROUNDS``-th word of each document; the rounds together train on every word once.
+ROUNDS = 3
 _BATCH, _RATE = 4096, 0.15
 _CHUNK = 1 << 20
 _SLICES = 16
@@ -127,6 +127,12 @@ def neighbours(ids: np.ndarray, row: np.ndarray) -> np.ndarray:
     return out
 
 
+def targets(row: np.ndarray, turn: int) -> np.ndarray:
+    """Indexes of the words that are trained in a round, by their places in their documents."""
+    place = np.arange(len(row)) - np.searchsorted(row, row)
+    return np.flatnonzero(place % ROUNDS == turn % ROUNDS)
+
+
 def _hidden(w: dict, near: np.ndarray) -> np.ndarray:
     total = w["near"][0][near[:, 0]] + w["bias"]
     for j in range(1, 2 * REACH):
@@ -134,44 +140,53 @@ def _hidden(w: dict, near: np.ndarray) -> np.ndarray:
     return np.tanh(total)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """In place."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """One logarithm of each row; changes ``x``."""
     x -= x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    own = x[np.arange(len(x)), at]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 def log_probabilities(w: dict, near: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Logarithm of the probability of each word, given its neighbours."""
+    """Logarithm of the probability of each word's id, given its neighbours."""
     out = np.zeros(len(ids))
     for a in range(0, len(ids), 1 << 15):
-        h, own = _hidden(w, near[a : a + (1 << 15)]), ids[a : a + (1 << 15)]
-        kind, member = own // MEMBERS, own % MEMBERS
-        p = _log_softmax(h @ w["class_out"].T + w["class_bias"])[np.arange(len(own)), kind].astype(np.float64)
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+        order = a + np.argsort((ids[a : a + (1 << 15)] // MEMBERS).astype(np.int16), kind="stable")
+        h, kind, member = _hidden(w, near[order]), ids[order] // MEMBERS, ids[order] % MEMBERS
+        p = _log_softmax_at(h @ w["class_out"].T + w["class_bias"], kind).astype(np.float64)
+        cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
         for c in range(CLASSES):
-            x = order[cuts[c] : cuts[c + 1]]
-            if len(x):
-                p[x] += _log_softmax(h[x] @ w["word_out"][c].T + w["word_bias"][c])[np.arange(len(x)), member[x]]
-        out[a : a + len(own)] = p
+            x = slice(cuts[c], cuts[c + 1])
+            if cuts[c] < cuts[c + 1]:
+                p[x] += _log_softmax_at(h[x] @ w["word_out"][c].T + w["word_bias"][c], member[x])
+        out[order] = p
     return out
 
 
 def train_step(w: dict, squares: dict, near: np.ndarray, ids: np.ndarray) -> None:
     """One step of AdaGrad on the mean of the logarithms; changes the weights in place."""
     n = len(ids)
-    kind, member = ids // MEMBERS, ids % MEMBERS
+    order = np.argsort((ids // MEMBERS).astype(np.int16), kind="stable")
+    near, kind, member = near[order], ids[order] // MEMBERS, ids[order] % MEMBERS
     h = _hidden(w, near)
-    pull = np.exp(_log_softmax(h @ w["class_out"].T + w["class_bias"]))
+    pull = _softmax(h @ w["class_out"].T + w["class_bias"])
     pull[np.arange(n), kind] -= 1
     grads = {"class_out": pull.T @ h, "class_bias": pull.sum(axis=0), "word_out": np.zeros_like(w["word_out"]), "word_bias": np.zeros_like(w["word_bias"])}
     back = pull @ w["class_out"]
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+    cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
     for c in range(CLASSES):
-        x = order[cuts[c] : cuts[c + 1]]
-        if len(x):
-            pull = np.exp(_log_softmax(h[x] @ w["word_out"][c].T + w["word_bias"][c]))
-            pull[np.arange(len(x)), member[x]] -= 1
+        x = slice(cuts[c], cuts[c + 1])
+        if cuts[c] < cuts[c + 1]:
+            pull = _softmax(h[x] @ w["word_out"][c].T + w["word_bias"][c])
+            pull[np.arange(len(pull)), member[x]] -= 1
             grads["word_out"][c], grads["word_bias"][c] = pull.T @ h[x], pull.sum(axis=0)
             back[x] += pull @ w["word_out"][c]
     back *= 1 - h * h
@@ -181,8 +196,11 @@ def train_step(w: dict, squares: dict, near: np.ndarray, ids: np.ndarray) -> Non
         squares[k] += g * g
         w[k] -= _RATE * g / np.sqrt(squares[k] + 1e-10)
     for j in range(2 * REACH):
-        order = np.argsort(near[:, j], kind="stable")
-        at, first = np.unique(near[order, j], return_index=True)
+        own = near[:, j].astype(np.int16)
+        order = np.argsort(own, kind="stable")
+        own = own[order]
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        at = own[first]
         g = np.add.reduceat(back[order], first, axis=0) / n
         squares["near"][j][at] += g * g
         w["near"][j][at] -= _RATE * g / np.sqrt(squares["near"][j][at] + 1e-10)
@@ -208,7 +226,7 @@ def trained(area: WorkArea, docs: DataFrame, frequent: np.ndarray, weights: np.n
         frequent, start = held.value
         vocabulary, w = Vocabulary(frequent), unpacked(start)
         squares = {k: np.full(s, 1e-4, np.float32) for k, s in SHAPES.items()}
-        words, done = 0, 0
+        done = 0
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         first = None
         for batch in batches:
@@ -216,14 +234,16 @@ def trained(area: WorkArea, docs: DataFrame, frequent: np.ndarray, weights: np.n
                 first = batch.column("number")[0].as_py()
             for _, _, hashes, row in chunks(batch.column("text")):
                 ids = vocabulary.ids(hashes)
-                own = np.arange((turn * 7 - words) % SHARE, len(ids), SHARE)
-                words += len(ids)
+                own = targets(row, turn)
                 waiting.append((neighbours(ids, row)[own], ids[own]))
-                while sum(len(x[1]) for x in waiting) >= _BATCH:
-                    near, own_ids = (np.concatenate(x) for x in zip(*waiting, strict=True))
-                    train_step(w, squares, near[:_BATCH], own_ids[:_BATCH])
-                    done += _BATCH
-                    waiting = [(near[_BATCH:], own_ids[_BATCH:])]
+                if sum(len(x[1]) for x in waiting) < _BATCH:
+                    continue
+                near, own_ids = (np.concatenate(x) for x in zip(*waiting, strict=True))
+                whole = len(own_ids) // _BATCH * _BATCH
+                for at in range(0, whole, _BATCH):
+                    train_step(w, squares, near[at : at + _BATCH], own_ids[at : at + _BATCH])
+                done += whole
+                waiting = [(near[whole:], own_ids[whole:])]
         if waiting and sum(len(x[1]) for x in waiting):
             near, own_ids = (np.concatenate(x) for x in zip(*waiting, strict=True))
             train_step(w, squares, near, own_ids)

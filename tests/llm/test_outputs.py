@@ -8,6 +8,7 @@ import pytest
 
 from barograph.llm import mixing, packing
 from barograph.llm import pseudo_likelihood as pl
+from barograph.session import WorkArea
 
 
 def restored(rows, row=packing.ROW):
@@ -127,6 +128,17 @@ def test_scores_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     assert not pl.scores(no_docs, pl.fit(spark, no_docs)).collect()
 
 
+def test_rounds_train_on_every_word(spark, odd_docs, odd_rows):
+    area = WorkArea(spark)
+    frequent, weights = np.zeros(0, np.uint64), pl.packed(pl.initial(np.ones(pl.IDS)))
+    for turn in range(pl.ROUNDS):
+        weights = pl.trained(area, odd_docs, frequent, weights, turn)
+    tables = [spark.read.parquet(f"{area.path}/weights-{turn}").filter("slice = 0") for turn in range(pl.ROUNDS)]
+    assert sum(r.words for t in tables for r in t.collect()) == sum(len((t or "").encode().split()) for _, t in odd_rows)
+    row = np.repeat([0, 2, 3, 7], [1, 10, 4, 300])
+    assert sorted(np.concatenate([pl.targets(row, turn) for turn in range(pl.ROUNDS)])) == list(range(len(row)))
+
+
 def test_words_of_shared_ids_have_their_own_probability(spark):
     """Far more words than ids: different words sum to one, and words never seen score below all real ones."""
     random.seed(15)
