@@ -8,7 +8,8 @@ lines are dropped from all documents but the one of the smallest id.
 
 Only lines of leaves that recur themselves are gathered, once for each different line. A Bloom filter of fixed size keeps
 most other lines back early; it decides nothing, since a join by leaf follows. A leaf with more than ``LEAF`` different
-lines is parsed on by its first ``DEEPER`` tokens, and what is still larger by whole lines, so no task gathers more.
+lines is dealt to parts by hash; each is parsed by itself, and the parts' templates, as lines with their variable places,
+are parsed once more by the same rule. So a task gathers the lines of a part or the templates of a leaf.
 
 Cases: a null or empty text has no lines; lines of fewer than ``TOKENS`` tokens always stay; a null doc_id counts as the
 largest; rows alike count as one document and are treated alike; no rows give no rows.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from barograph.llm.words import flat, mix, ragged, spans, word_hashes
 from barograph.session import WorkArea
 
-DEPTH, DEEPER, SIMILARITY, TOKENS, DOCUMENTS, LEAF = 4, 12, 0.7, 3, 5, 1000
+DEPTH, SIMILARITY, TOKENS, DOCUMENTS, LEAF = 4, 0.7, 3, 5, 1000
 FILTER_BITS = 1 << 26
 _CHUNK = 2 << 20
 
@@ -109,7 +110,7 @@ def leaf_filter(leaves: DataFrame) -> bytes:
 
 
 def candidate_lines(docs: DataFrame, packed: bytes) -> DataFrame:
-    """doc_id, digest, number, leaf, deeper, whole and tokens (hashes) of the lines that pass the filter."""
+    """doc_id, digest, number, leaf, whole and tokens (hashes) of the lines that pass the filter."""
     held = docs.sparkSession.sparkContext.broadcast(packed)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,22 +123,25 @@ def candidate_lines(docs: DataFrame, packed: bytes) -> DataFrame:
                 bounds = np.concatenate([[0], np.cumsum(lines.length[own])]) * 8
                 tokens = pa.BinaryArray.from_buffers(pa.binary(), len(own), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(cells)])
                 take = pa.array(at + lines.row[own])
-                keys = [lines.key(DEEPER)[own].view(np.int64), lines.whole()[own].view(np.int64)]
                 columns = [
                     batch.column("doc_id").take(take),
                     batch.column("digest").take(take),
                     pa.array(lines.number[own], pa.int32()),
-                    *map(pa.array, [leaf[own], *keys]),
+                    pa.array(leaf[own]),
+                    pa.array(lines.whole()[own].view(np.int64)),
                     tokens,
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "number", "leaf", "deeper", "whole", "tokens"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "digest", "number", "leaf", "whole", "tokens"])
 
-    schema = "doc_id long, digest long, number int, leaf long, deeper long, whole long, tokens binary"
+    schema = "doc_id long, digest long, number int, leaf long, whole long, tokens binary"
     return docs.select("doc_id", "digest", "text").mapInArrow(rows, schema)
 
 
-def similar(tokens: np.ndarray, least: float) -> np.ndarray:
-    """The template of each line (row of ``tokens``), numbered from 0; lines come in order of precedence."""
+def similar(tokens: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The template of each line (row of ``tokens``), numbered from 0, and the templates' tokens, 0 for variable ones.
+
+    Lines come in order of precedence.
+    """
     n = tokens.shape[1]
     forms = np.zeros_like(tokens)
     fixed = np.zeros(tokens.shape, bool)
@@ -154,30 +158,31 @@ def similar(tokens: np.ndarray, least: float) -> np.ndarray:
             forms[count], fixed[count] = line, line != 0  # variable fields are no part of the likeness
             out[i] = count
             count += 1
-    return out
-
+    return out, np.where(fixed, forms, np.uint64(0))[:count]
 
-def templates(distinct: DataFrame, leaf_limit: int = LEAF) -> DataFrame:
-    """whole, leaf and template (hash) of each different line; ``distinct`` has leaf, deeper, whole, tokens and n."""
 
-    def own_leaves(rows: DataFrame, by: str) -> DataFrame:
-        return rows.groupBy(by).count().filter(F.col("count") > leaf_limit).select(F.col(by).alias("over"))
+def templates(area: WorkArea, distinct: DataFrame, leaf_limit: int = LEAF) -> DataFrame:
+    """whole, leaf and template (hash) of each different line; ``distinct`` has leaf, whole, tokens and n."""
 
     def parse(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["n", "whole"], ascending=[False, True], kind="stable")
-        form = similar(np.stack([np.frombuffer(t, np.uint64) for t in pdf["tokens"]]), SIMILARITY)
-        _, first = np.unique(form, return_index=True)
-        return pd.DataFrame({"leaf": pdf["leaf"], "whole": pdf["whole"], "template": pdf["whole"].to_numpy()[first][form]})
-
-    over = own_leaves(distinct, "leaf")
-    marked = distinct.join(over, F.col("leaf") == F.col("over"), "left").withColumn("wide", F.col("over").isNotNull()).drop("over")
-    still = own_leaves(marked.filter("wide"), "deeper")
-    marked = marked.join(still, F.col("wide") & (F.col("deeper") == F.col("over")), "left")
-    node = F.when(~F.col("wide"), F.struct(F.lit(0).alias("level"), F.col("leaf").alias("key")))
-    node = node.when(F.col("over").isNull(), F.struct(F.lit(1).alias("level"), F.col("deeper").alias("key")))
-    node = node.otherwise(F.struct(F.lit(2).alias("level"), F.col("whole").alias("key")))
-    grouped = marked.select("leaf", "whole", "tokens", "n", node.alias("node"))
-    return grouped.groupBy("node").applyInPandas(parse, "leaf long, whole long, template long")
+        own, forms = similar(np.stack([np.frombuffer(t, np.uint64) for t in pdf["tokens"]]), SIMILARITY)
+        _, first = np.unique(own, return_index=True)
+        whole, form = pdf["whole"].to_numpy(), np.full(len(pdf), None, object)
+        form[first] = [f.tobytes() for f in forms]
+        return pd.DataFrame({"leaf": pdf["leaf"], "whole": whole, "template": whole[first][own], "n": pdf["n"], "form": form})
+
+    schema = "leaf long, whole long, template long, n long, form binary"
+    parts = F.ceil(F.count(F.lit(1)) / leaf_limit).cast("int").alias("parts")
+    wide = area.stage(distinct.groupBy("leaf").agg(parts).filter("parts > 1"), "wide")
+    part = F.coalesce(F.pmod(F.xxhash64("whole"), F.col("parts")), F.lit(0)).alias("part")
+    dealt = distinct.join(wide, "leaf", "left").select("leaf", "whole", "tokens", "n", part)
+    parsed = area.stage(dealt.groupBy("leaf", "part").applyInPandas(parse, schema), "parsed")
+    heads = parsed.filter("form IS NOT NULL").join(wide, "leaf", "left_semi")
+    heads = heads.select("leaf", F.col("template").alias("whole"), F.col("form").alias("tokens"), "n")
+    merged = heads.groupBy("leaf").applyInPandas(parse, schema).select("leaf", F.col("whole").alias("template"), F.col("template").alias("common"))
+    joined = parsed.select("leaf", "whole", "template").join(merged, ["leaf", "template"], "left")
+    return joined.select("leaf", "whole", F.coalesce("common", "template").alias("template"))
 
 
 def _dropped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,8 +207,8 @@ def without_recurring_lines(
     leaves = area.stage(recurring_leaves(docs, least), "leaves")
     lines = candidate_lines(docs, leaf_filter(leaves)).join(leaves, "leaf", "left_semi").distinct()
     lines = area.stage(lines, "lines")
-    distinct = lines.groupBy("leaf", "deeper", "whole").agg(F.first("tokens").alias("tokens"), F.count_distinct("doc_id", "digest").alias("n"))
-    found = area.stage(templates(area.stage(distinct, "distinct"), leaf_limit), "templates")
+    distinct = lines.groupBy("leaf", "whole").agg(F.first("tokens").alias("tokens"), F.count_distinct("doc_id", "digest").alias("n"))
+    found = area.stage(templates(area, area.stage(distinct, "distinct"), leaf_limit), "templates")
     placed = lines.select("doc_id", "digest", "number", "leaf", "whole").join(found, ["leaf", "whole"])
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("digest").alias("digest"))
     per_document = placed.groupBy("leaf", "template", "doc_id", "digest").agg(F.lit(1).alias("one"))

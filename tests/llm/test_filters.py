@@ -95,6 +95,19 @@ def test_large_leaves_are_parsed_on(spark, logs):
     assert sum("see also" in t for t in rows.values()) == 1
 
 
+def test_size_of_a_leaf_changes_nothing(spark):
+    """A variable word without a digit, on both sides of the limit; beside it, lines that nothing is like."""
+    def name(i):
+        return "".join("abcdefghij"[int(c)] for c in str(i))
+
+    for n in (900, 1100):
+        rows = [(i, f"the gate at the north side was opened by {name(i)} again\nthe gate at the {' '.join(name(i * 100 + k) for k in range(7))}") for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        for limit in (100, templates.LEAF):
+            got = templates.without_recurring_lines(spark, docs, leaf_limit=limit).collect()
+            assert sorted((r.doc_id, r.n_dropped) for r in got) == [(i, int(i > 0)) for i in range(n)]
+
+
 def test_templates_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     assert kept_lines(spark, odd_docs, least=2) == counted(without_templates(odd_rows, 2))
     assert not kept_lines(spark, no_docs)
