@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import bytespans, classifier, decontaminate, embeddings, mixing, packing, pseudo_likelihood, simhash, substrings, templates
+from barograph.llm import bytespans, classifier, decontaminate, embeddings, filter_audit, mixing, packing, pseudo_likelihood, simhash, substrings, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": substrings.op1_substrings,
@@ -19,8 +19,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": embeddings.op8_embeddings,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality": classifier.op10_quality,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_mixing": mixing.OP9_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
