@@ -35,7 +35,7 @@ from barograph.session import WorkArea
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UNIT, SMOOTHING, LEAST_DOCS, TOP = 1_000_000_000, 1, 3, 200
 #: Text that is counted at once, and counts of the vocabulary per range.
-CHUNK, COUNTS = 16 << 20, 200_000
+CHUNK, COUNTS = 8 << 20, 200_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
