@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from barograph.llm import bytespans, classifier, decontaminate, divergence, embeddings, filter_audit, mixing, packing, pseudo_likelihood, simhash, substrings, templates
+from barograph.llm import bytespans, classifier, decontaminate, divergence, embeddings, extraction, filter_audit, mixing, packing, pseudo_likelihood, simhash, substrings, templates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substrings": substrings.op1_substrings,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": embeddings.op8_embeddings,
     "op9_mixing": mixing.op9_mixing,
     "op10_quality": classifier.op10_quality,
+    "op11_html_extraction": extraction.op11_html_extraction,
     "op12_source_divergence": divergence.op12_source_divergence,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
