@@ -20,17 +20,21 @@ MONTH_NAMES = (
 )
 MONTH_STARTS = "janfebmaraprmayjunjulaugsepoctnovdec"
 
-# Dates as (pattern, the groups that are year, month and day). All groups of a pattern count.
-DATES = [
-    (r"(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})", (1, 2, 3)),
-    (r"(\d{1,2})[-/.](\d{1,2})[-/.](\d{4})", (3, 1, 2)),
-    (rf"({MONTH_NAMES})\.? (\d{{1,2}}),? (\d{{4}})", (3, 1, 2)),
-    (rf"(\d{{1,2}})[- ]({MONTH_NAMES})\.?[- ,]+(\d{{4}})", (3, 2, 1)),
-]
-HALF = r"(?: ?([ap])\.?m\.?)?"
-ZONE = r"(?: ?(?:z|utc|gmt|[-+]\d{2}:?(?:\d{2})?))?"
-CLOCK = rf"(?:[ t](\d{{1,2}}):(\d{{1,2}})(?::(\d{{1,2}})(\.\d+)?)?{HALF}{ZONE})?"
-COMPACT = r"^(\d{4})(\d{2})(\d{2})[ t]?(\d{2})(\d{2})(\d{2})$"
+# All forms in one pattern, with groups of its own for the year, month and day of each: year first; month, day, year; where
+# that is no month, day, month, year; month's name first or second. Of a name the group holds three letters. Then come the
+# clock, of which AM or PM leaves its first letter, and a time zone. The last branch leaves nothing of other texts.
+NAMED = rf"(?=(?:{MONTH_NAMES})(?![a-z]))([a-z]{{3}})[a-z]*\.?"
+MONTH = r"(0?[1-9]|1[0-2])"
+TIME = (
+    r"(?is)^(?:\s*(?:(\d{4})[-/.](\d{1,2})[-/.](\d{1,2})"
+    rf"|{MONTH}[-/.](\d{{1,2}})[-/.](\d{{4}})"
+    rf"|(\d{{1,2}})[-/.]{MONTH}[-/.](\d{{4}})"
+    rf"|{NAMED}\s+(\d{{1,2}}),?\s+(\d{{4}})"
+    rf"|(\d{{1,2}})(?:-|\s+){NAMED}[-\s,]+(\d{{4}}))"
+    r"(?:(?:\s+|t)(\d{1,2}:\d{1,2}(?::\d{1,2}(?:\.\d+)?)?)(?:\s?([ap])\.?m\.?)?(?:\s?(?:z|utc|gmt|[-+]\d{2}:?(?:\d{2})?))?)?\s*|.*)$"
+)
+YEAR_FIRST = "$1$6$9$12$15-$2$4$8$10$14-$3$5$7$11$13 $16$17"
+COMPACT = r"(?i)^\s*(\d{4})(\d{2})(\d{2})(?:\s+|t)?(\d{2})(\d{2})(\d{2})\s*$"
 
 # Decimal texts of up to 15 digits are the same number read as decimal or as double.
 EXACT_LENGTH = 16
@@ -52,14 +56,32 @@ def channel_value(text: Column) -> Column:
     return F.when(F.length(text) <= EXACT_LENGTH, text.try_cast(CHANNEL)).otherwise(as_double.try_cast(CHANNEL))
 
 
-def clock_text(hour: Column, minute: Column, second: Column, half: Column) -> Column:
-    """`H:M:S` of a clock whose parts may be empty; NULL for an hour that AM or PM can't have."""
-    number = hour.try_cast("int")
-    of_half = F.when(number.between(1, 12), number % 12 + F.when(half == "p", 12).otherwise(0))
-    hours = F.when(hour == "", 0).when(half == "", number).otherwise(of_half)
-    return F.concat(hours, F.lit(":"), *[
-        part for text in (minute, second) for part in (F.when(text == "", "0").otherwise(text), F.lit(":"))
-    ][:-1])
+def year_first(text: Column) -> Column:
+    """`Y-M-D H:M:S` of a time in any form, as far as it has them, with `a` or `p` at the end for AM or PM; a month may still
+    be the start of its name."""
+    spaced = F.when(F.contains(text, F.lit(":")), text).otherwise(F.regexp_replace(text, COMPACT, "$1-$2-$3 $4:$5:$6"))
+    return F.regexp_replace(spaced, TIME, YEAR_FIRST)
+
+
+def in_numbers(found: Column) -> Column:
+    """The same with the number of a named month."""
+    number = F.ceil(F.position(F.lower(F.substring(found, 6, 3)), F.lit(MONTH_STARTS)) / 3).cast("string")
+    named = F.concat(F.substring(found, 1, 5), number, F.substring(found, 9, 100))
+    return F.when(F.substring(found, 6, 1) >= "A", named).otherwise(found)
+
+
+def nearest_second(found: Column) -> Column:
+    """The time of such a text, or NULL."""
+
+    def rounded(text: Column) -> Column:
+        whole = F.substring_index(text, ".", 1).try_cast("timestamp_ntz")
+        up = F.when(text.rlike(r"\.[5-9]"), whole + F.expr("INTERVAL '1' SECOND")).otherwise(whole)
+        return F.when(F.contains(text, F.lit(".")), up).otherwise(text.try_cast("timestamp_ntz"))
+
+    letter = F.substring(found, -1, 1)
+    of_half = rounded(F.replace(F.left(found, F.length(found) - 1), F.lit(" 12:"), F.lit(" 0:")))
+    later = F.when(F.lower(letter) == "p", of_half + F.expr("INTERVAL '12' HOUR")).otherwise(of_half)
+    return F.when(letter >= "A", F.when(found.rlike(" (?:1[0-2]|0?[1-9]):"), later)).otherwise(rounded(found))
 
 
 def sample_time(text: Column) -> Column:
@@ -70,23 +92,9 @@ def sample_time(text: Column) -> Column:
     month names before or after the day. The clock and its seconds may be left out; it may
     have AM or PM. A time zone is passed over: the clock counts as it is written. Date and
     clock may also come as digits only.
+
+    Any other form is first written year first, by one replacement for all of them. An array of one element holds
+    that text, since an expression that is used more than once within a condition would be computed each time.
     """
-    plain = F.lower(F.regexp_replace(F.trim(text), r"\s+", " "))
-    found = F.when(plain.rlike(COMPACT), F.regexp_replace(plain, COMPACT, "$1-$2-$3 $4:$5:$6").try_cast("timestamp_ntz"))
-    for date, places in DATES:
-        pattern = f"^{date}{CLOCK}$"
-        year, month, day = (F.regexp_extract(plain, pattern, group) for group in places)
-        clock = clock_text(*(F.regexp_extract(plain, pattern, group) for group in (4, 5, 6, 8)))
-        if MONTH_NAMES in date:
-            month = F.ceil(F.position(F.substring(month, 1, 3), F.lit(MONTH_STARTS)) / 3).cast("string")
-
-        def at(month: Column, day: Column, year: Column = year, clock: Column = clock) -> Column:
-            return F.concat(year, F.lit("-"), month, F.lit("-"), day, F.lit(" "), clock).try_cast("timestamp_ntz")
-
-        value = at(month, day)
-        if places == (3, 1, 2) and MONTH_NAMES not in date:
-            value = F.coalesce(value, at(day, month))
-        half_second = F.when(F.regexp_extract(plain, pattern, 7).rlike(r"^\.[5-9]"), 1).otherwise(0)
-        rounded = value + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), half_second.cast("decimal(18,6)"))
-        found = found.when(plain.rlike(pattern), rounded)
-    return F.when(text.rlike(WHOLE_SECONDS), text.try_cast("timestamp_ntz")).otherwise(found)
+    other = F.transform(F.transform(F.array(year_first(text)), in_numbers), nearest_second)
+    return F.when(text.rlike(WHOLE_SECONDS), text.try_cast("timestamp_ntz")).otherwise(F.get(other, F.lit(0)))

@@ -142,6 +142,16 @@ SAMPLES = [
     (("20250801", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
     (("2025-08-01   00:10:00", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
     (("2025-08-01 24:10:00", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("20250801   001000", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("7/31/2025 11:59:59.6 PM", "25", "60"), (ingest.ACCEPTED, datetime(2025, 8, 1), "25.00", "60.00")),
+    (("AUG. 1, 2025  12:10 a.m. UTC", "25", "60"), (ingest.ACCEPTED, NOON, "25.00", "60.00")),
+    (("31 july, 2025 12:10 PM", "25", "60"), (ingest.ACCEPTED, datetime(2025, 7, 31, 12, 10), "25.00", "60.00")),
+    (("2025-08-01 0:10 am", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("2025-08-01 00:10:00 Mars", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("2025-13-01 00:10:00", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("13/13/2025", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("Marchy 1, 2025", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
+    (("2025-08-01 00:10.7", "25", "60"), (ingest.BAD_TIME, None, "25.00", "60.00")),
 ]
 
 
