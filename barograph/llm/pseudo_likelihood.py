@@ -9,11 +9,11 @@ a shared id has its own part of the id's probability, by its count in the corpus
 for words that the corpus doesn't have; an id is taken to have as many of them as it has known ones on average, and one
 more, and each gets an equal part. So the probabilities of different words sum to one. The counts are looked up by messages: stretches of documents send the
 different words that they have to groups of words, which answer with the counts; no task holds all words. Training
-runs where the documents are: in each round every task goes on from the common weights with its share of words, every
+runs on lists of ids, written once: in each round every task goes on from the common weights with its share of words, every
 document included, and the tasks' weights are averaged by the number of words, in two levels, so that no task gathers more
 than the square root of all. What a round sends grows with the corpus; the network itself has a fixed size.
 
-Cases: words are as in ``words.WORD``; a null or empty text has no words and score 0; beyond a document's ends there is a
+Cases: words are as in ``words.WORD``; texts of any length are read whole, each in one task; a null or empty text has no words and score 0; beyond a document's ends there is a
 mark in place of a neighbour; rows alike get the same score up to rounding; ties in frequency go by hash; no rows give no rows.
 """
 
@@ -116,14 +116,15 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
         at = to
 
 
-def neighbours(ids: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """Ids of the words around each word, ``IDS`` beyond the ends of its document."""
-    out = np.full((len(ids), 2 * REACH), IDS, dtype=np.int64)
+def neighbours(ids: np.ndarray, row: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
+    """Ids of the words around each word, or around those numbered ``own``; ``IDS`` beyond the ends of its document."""
+    own = np.arange(len(ids)) if own is None else own
+    out = np.full((len(own), 2 * REACH), IDS, dtype=np.int64)
     for j, gap in enumerate([g for g in range(-REACH, REACH + 1) if g]):
-        a, b = max(0, -gap), len(ids) - max(0, gap)
-        if b > a:
-            same = row[a:b] == row[a + gap : b + gap]
-            out[a:b, j][same] = ids[a + gap : b + gap][same]
+        at = own + gap
+        there = (at >= 0) & (at < len(ids))
+        there[there] = row[at[there]] == row[own[there]]
+        out[there, j] = ids[at[there]]
     return out
 
 
@@ -158,15 +159,17 @@ def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
 def log_probabilities(w: dict, near: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Logarithm of the probability of each word's id, given its neighbours."""
     out = np.zeros(len(ids))
+    class_out, word_out = w["class_out"].T.astype(np.float64), w["word_out"].transpose(0, 2, 1).astype(np.float64)
     for a in range(0, len(ids), 1 << 15):
         order = a + np.argsort((ids[a : a + (1 << 15)] // MEMBERS).astype(np.int16), kind="stable")
-        h, kind, member = _hidden(w, near[order]), ids[order] // MEMBERS, ids[order] % MEMBERS
-        p = _log_softmax_at(h @ w["class_out"].T + w["class_bias"], kind).astype(np.float64)
+        # Products in double precision: in single precision their rounding depends on a word's place in the batch.
+        h, kind, member = _hidden(w, near[order]).astype(np.float64), ids[order] // MEMBERS, ids[order] % MEMBERS
+        p = _log_softmax_at((h @ class_out + w["class_bias"]).astype(np.float32), kind).astype(np.float64)
         cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
         for c in range(CLASSES):
             x = slice(cuts[c], cuts[c + 1])
             if cuts[c] < cuts[c + 1]:
-                p[x] += _log_softmax_at(h[x] @ w["word_out"][c].T + w["word_bias"][c], member[x])
+                p[x] += _log_softmax_at((h[x] @ word_out[c] + w["word_bias"][c]).astype(np.float32), member[x])
         out[order] = p
     return out
 
@@ -218,32 +221,52 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(rows, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
 
 
+def id_lists(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """number, ids (two bytes a word) and sizes (words of each document) of stretches of documents."""
+    held = docs.sparkSession.sparkContext.broadcast(frequent)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(held.value)
+        for batch in batches:
+            for a, b, hashes, row in chunks(batch.column("text")):
+                ids = vocabulary.ids(hashes).astype(np.uint16)
+                sizes = np.bincount(row, minlength=b - a)
+                columns = [batch.column("number")[a : a + 1], pa.array([ids.tobytes()]), pa.array([sizes.tobytes()])]
+                yield pa.RecordBatch.from_arrays(columns, ["number", "ids", "sizes"])
+
+    numbered = docs.select(F.monotonically_increasing_id().alias("number"), "text")
+    return numbered.mapInArrow(rows, "number long, ids binary, sizes binary")
+
+
 def trained(area: WorkArea, docs: DataFrame, frequent: np.ndarray, weights: np.ndarray, turn: int) -> np.ndarray:
-    """The weights after one more round; only they come to the driver."""
-    held = docs.sparkSession.sparkContext.broadcast((frequent, weights))
+    """The weights after one more round over ``docs``."""
+    return trained_on(area, id_lists(docs, frequent), weights, turn)
+
+
+def trained_on(area: WorkArea, lists: DataFrame, weights: np.ndarray, turn: int) -> np.ndarray:
+    """The weights after one more round over ``id_lists``; only they come to the driver."""
+    held = lists.sparkSession.sparkContext.broadcast(weights)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, start = held.value
-        vocabulary, w = Vocabulary(frequent), unpacked(start)
+        w = unpacked(held.value)
         squares = {k: np.full(s, 1e-4, np.float32) for k, s in SHAPES.items()}
         done = 0
         waiting: list[tuple[np.ndarray, np.ndarray]] = []
         first = None
-        for batch in batches:
-            if first is None and batch.num_rows:
-                first = batch.column("number")[0].as_py()
-            for _, _, hashes, row in chunks(batch.column("text")):
-                ids = vocabulary.ids(hashes)
-                own = targets(row, turn)
-                waiting.append((neighbours(ids, row)[own], ids[own]))
-                if sum(len(x[1]) for x in waiting) < _BATCH:
-                    continue
-                near, own_ids = (np.concatenate(x) for x in zip(*waiting, strict=True))
-                whole = len(own_ids) // _BATCH * _BATCH
-                for at in range(0, whole, _BATCH):
-                    train_step(w, squares, near[at : at + _BATCH], own_ids[at : at + _BATCH])
-                done += whole
-                waiting = [(near[whole:], own_ids[whole:])]
+        for number, packed_ids, sizes in (r for batch in batches for r in zip(*batch.columns, strict=True)):
+            first = number.as_py() if first is None else first
+            ids = np.frombuffer(packed_ids.as_buffer(), np.uint16)
+            row = np.repeat(np.arange(sizes.as_buffer().size // 8), np.frombuffer(sizes.as_buffer(), np.int64))
+            own = targets(row, turn)
+            waiting.append((neighbours(ids, row, own), ids[own].astype(np.int64)))
+            if sum(len(x[1]) for x in waiting) < _BATCH:
+                continue
+            near, own_ids = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            whole = len(own_ids) // _BATCH * _BATCH
+            for at in range(0, whole, _BATCH):
+                train_step(w, squares, near[at : at + _BATCH], own_ids[at : at + _BATCH])
+            done += whole
+            waiting = [(near[whole:], own_ids[whole:])]
         if waiting and sum(len(x[1]) for x in waiting):
             near, own_ids = (np.concatenate(x) for x in zip(*waiting, strict=True))
             train_step(w, squares, near, own_ids)
@@ -260,8 +283,7 @@ def trained(area: WorkArea, docs: DataFrame, frequent: np.ndarray, weights: np.n
         return pd.DataFrame({"task": [pdf["task"].iloc[0]], "words": [pdf["words"].sum()], "slice": [pdf["slice"].iloc[0]], "weights": [total.astype(np.float32).tobytes()]})
 
     schema = "task long, words long, slice int, weights binary"
-    numbered = docs.select(F.monotonically_increasing_id().alias("number"), "text")
-    own = area.stage(numbered.mapInArrow(rows, schema), f"weights-{turn}")
+    own = area.stage(lists.select("number", "ids", "sizes").mapInArrow(rows, schema), f"weights-{turn}")
     tasks = own.filter("slice = 0").count()
     groups = max(1, int(tasks**0.5))
     some = own.withColumn("part", F.pmod(F.xxhash64("task"), F.lit(groups))).groupBy("slice", "part").applyInPandas(mean, schema)
@@ -293,8 +315,9 @@ def fit(spark: SparkSession, docs: DataFrame, rounds: int = ROUNDS) -> Model:
     by_id[len(top) : OWN_IDS] = 1e-6 - 1  # no word has them
     by_id[OWN_IDS:] = shared
     weights = packed(initial(by_id))
+    lists = area.stage(id_lists(docs, frequent), "ids") if rounds else None
     for turn in range(rounds):
-        weights = trained(area, docs, frequent, weights, turn)
+        weights = trained_on(area, lists, weights, turn)
     return Model(frequent, weights, counts, shared, unseen)
 
 

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barograph.llm import mixing, packing
@@ -199,3 +200,34 @@ def test_mix_of_odd_documents(spark, odd_docs, odd_rows, no_docs):
     assert not mixing.mix_sources(spark, no_docs).collect()
     empty = odd_docs.filter("text IS NULL OR trim(text) = ''")
     assert all(r.taken == 0 and r.target == 0 for r in mixing.mix_sources(spark, empty).collect())
+
+
+def test_scores_equal_a_plain_loop(spark):
+    """Each word's logarithm by the formula, one word at a time."""
+    random.seed(21)
+    words = [f"v{i}" for i in range(40)]
+    texts = [" ".join(random.choices(words, weights=range(1, 41), k=random.choice([1, 2, 5, 60]))) for _ in range(50)] + ["", None, "  "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    model = pl.fit(spark, docs)
+    w, vocabulary = pl.unpacked(model.weights), pl.Vocabulary(model.frequent)
+
+    def log_share(x, at):
+        return x[at] - np.log(np.exp(x - x.max()).sum()) - x.max()
+
+    def plain(text):
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        ids = [int(i) for _, _, hashes, _ in pl.chunks(pa.array([text])) for i in vocabulary.ids(hashes)] if len(data) else []
+        total = 0.0
+        for k, i in enumerate(ids):
+            h = w["bias"].astype(float)
+            for j, gap in enumerate([-2, -1, 1, 2]):
+                h = h + w["near"][j][ids[k + gap] if 0 <= k + gap < len(ids) else pl.IDS]
+            h = np.tanh(h)
+            kind, member = divmod(i, pl.MEMBERS)
+            total += log_share(w["class_out"] @ h + w["class_bias"], kind) + log_share(w["word_out"][kind] @ h + w["word_bias"][kind], member)
+        return len(ids), total
+
+    for r in pl.scores(docs, model).collect():
+        n, total = plain(texts[r.doc_id])
+        assert r.n_words == n
+        assert r.log_likelihood == pytest.approx(total, abs=1e-3 + 1e-5 * n)
