@@ -37,7 +37,7 @@ IDS = CLASSES * MEMBERS
 REACH, WIDTH = 2, 16
 #: A round trains on every ``ROUNDS``-th word of each document; the rounds together train on every word once.
 ROUNDS = 3
-_BATCH, _RATE = 4096, 0.15
+_BATCH, _RATE = 8192, 0.15
 _CHUNK = 1 << 20
 _SLICES = 16
 #: Text for each group of words, and the least number of groups.
@@ -141,17 +141,27 @@ def _hidden(w: dict, near: np.ndarray) -> np.ndarray:
     return np.tanh(total)
 
 
+_ONES = np.ones(max(CLASSES, MEMBERS), np.float32)
+
+
+def _raised(x: np.ndarray) -> np.ndarray:
+    """Exponentials in place, of each row up to a common factor; one shift for all rows, and nothing below the least float."""
+    x -= x.max(initial=-np.inf)
+    np.maximum(x, -80, out=x)
+    return np.exp(x, out=x)
+
+
 def _softmax(x: np.ndarray) -> np.ndarray:
     """In place."""
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    _raised(x)
+    x /= (x @ _ONES[: x.shape[1]])[:, None]
     return x
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One logarithm of each row; changes ``x``."""
-    x -= x.max(axis=1, keepdims=True)
+    """One logarithm of each row; changes ``x``. No value of a row may depend on other rows, so none is shifted by a maximum;
+    80 is where values are cut, far above those of trained weights."""
+    np.minimum(x, 80, out=x)
     own = x[np.arange(len(x)), at]
     return own - np.log(np.exp(x, out=x).sum(axis=1))
 
@@ -164,12 +174,11 @@ def log_probabilities(w: dict, near: np.ndarray, ids: np.ndarray) -> np.ndarray:
         order = a + np.argsort((ids[a : a + (1 << 15)] // MEMBERS).astype(np.int16), kind="stable")
         # Products in double precision: in single precision their rounding depends on a word's place in the batch.
         h, kind, member = _hidden(w, near[order]).astype(np.float64), ids[order] // MEMBERS, ids[order] % MEMBERS
-        p = _log_softmax_at((h @ class_out + w["class_bias"]).astype(np.float32), kind).astype(np.float64)
+        p = _log_softmax_at((h @ class_out).astype(np.float32) + w["class_bias"], kind).astype(np.float64)
         cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        for c in np.flatnonzero(np.diff(cuts)):
             x = slice(cuts[c], cuts[c + 1])
-            if cuts[c] < cuts[c + 1]:
-                p[x] += _log_softmax_at((h[x] @ word_out[c] + w["word_bias"][c]).astype(np.float32), member[x])
+            p[x] += _log_softmax_at((h[x] @ word_out[c]).astype(np.float32) + w["word_bias"][c], member[x])
         out[order] = p
     return out
 
