@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from barograph.operators import daily, ingest, loading
 from barograph.schema import MONTH_KEYS
 from barograph.session import WorkArea, work_area
-from barograph.sources.filenames import file_year_month
+from barograph.sources.filenames import month_in_name
 from barograph.sources.tables import SensorTables
-from barograph.sources.workbooks import list_workbooks, scan_workbooks
+from barograph.sources.workbooks import list_workbooks, scan_files, scan_workbooks, workbook_files
 
 MODES = ("append", "skip_existing", "dedupe", "replace", "rebuild")
 MONTH_LIMIT = 9_900
@@ -162,6 +162,21 @@ def list_files(tables: SensorTables, folder: str) -> DataFrame:
     return loading.file_status(list_workbooks(tables.spark, folder), tables.month_frame()).orderBy("file")
 
 
+def new_and_others(tables: SensorTables, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The workbooks of months that are not loaded, as binary files; the others (file, year, month, problem).
+
+    One listing serves both. The months that are loaded, at most ``MONTH_LIMIT``, are a condition on the name, which Spark
+    holds against the listing when it plans the scan; names are neither collected nor passed on.
+    """
+    files = workbook_files(tables.spark, folder)
+    year, month, problem = month_in_name(F.col("_metadata.file_name"))
+    loaded = (year * 100 + month).isin([y * 100 + m for y, m in tables.months()])
+    new = F.coalesce(problem.isNull() & ~loaded, F.lit(False))
+    reason = F.coalesce(problem, F.lit(ALREADY_LOADED)).alias("problem")
+    others = files.where(~new).select(F.col("path").alias("file"), year.alias("year"), month.alias("month"), reason)
+    return files.where(new), others
+
+
 def import_new(
     tables: SensorTables, folder: str, first_file_per_month_only: bool = False, refresh_stats: bool = False
 ) -> DataFrame:
@@ -172,14 +187,14 @@ def import_new(
     new month gives nothing, as its month is loaded by then.
     """
     tables.create()
-    listed = list_files(tables, folder).collect()  # names only, as the listing itself holds them
-    new = [r["file"] for r in listed if r["year"] is not None and not r["already_loaded"]]
-    others = tables.spark.createDataFrame([(r["file"],) for r in listed if r["file"] not in set(new)], "file string")
-    reason = F.coalesce("name_problem", F.lit(ALREADY_LOADED)).alias("problem")
-    left_out = file_year_month(others).select("file", "year", "month", reason)
-    raw_rows = scan_workbooks(tables.spark, new)
+    new, left_out = new_and_others(tables, folder)
     return load_raw_rows(
-        tables, raw_rows, "skip_existing", first_file_per_month_only, refresh_stats=refresh_stats, left_out=left_out
+        tables,
+        scan_files(new),
+        "skip_existing",
+        first_file_per_month_only,
+        refresh_stats=refresh_stats,
+        left_out=left_out,
     )
 
 

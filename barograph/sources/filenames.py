@@ -18,14 +18,13 @@ def year_month_text(name: Column) -> Column:
     return F.replace(part, F.lit(fixed.WORKBOOK_SUFFIX), F.lit(""))
 
 
-def file_year_month(files: DataFrame, strict: bool = False) -> DataFrame:
-    """Add `year`, `month` and `name_problem` to a frame with a `file` column.
+def month_in_name(name: Column, strict: bool = False) -> tuple[Column, Column, Column]:
+    """Year and month of a file name, both NULL where it has none, and what is wrong with it then.
 
     Four digits `YYMM` give year 2000 + YY and month MM. Month 00 is no month; months 13
-    to 99 are taken as they are unless ``strict``. A name that gives no month keeps NULLs
-    and says why, so that one stray file cannot stop an import.
+    to 99 are taken as they are unless ``strict``.
     """
-    text = year_month_text(base_name(F.col("file")))
+    text = year_month_text(name)
     last_month = 12 if strict else 99
     month = F.substring(text, 3, 2).try_cast("int")
     problem = (
@@ -34,8 +33,14 @@ def file_year_month(files: DataFrame, strict: bool = False) -> DataFrame:
         .when(~month.between(1, last_month), "no such month")
     )
     year = F.substring(text, 1, 2).try_cast("int") + fixed.CENTURY
-    return (
-        files.withColumn("name_problem", problem)
-        .withColumn("year", F.when(F.col("name_problem").isNull(), year))
-        .withColumn("month", F.when(F.col("name_problem").isNull(), month))
-    )
+    return F.when(problem.isNull(), year), F.when(problem.isNull(), month), problem
+
+
+def file_year_month(files: DataFrame, strict: bool = False) -> DataFrame:
+    """Add `year`, `month` and `name_problem` to a frame with a `file` column.
+
+    A name that gives no month keeps NULLs and says why, so that one stray file cannot stop
+    an import.
+    """
+    year, month, problem = month_in_name(base_name(F.col("file")), strict)
+    return files.withColumn("name_problem", problem).withColumn("year", year).withColumn("month", month)

@@ -33,12 +33,20 @@ def is_lock_file() -> F.Column:
     return base_name(F.col("path")).startswith(fixed.LOCK_FILE_PREFIX)
 
 
+def workbook_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+    """The workbooks of one folder as binary files, as they are listed now.
+
+    A condition on `_metadata.file_name` alone chooses files before any is opened: Spark holds it against its listing.
+    """
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern or workbook_glob())
+    return reader.load(folder).where(~is_lock_file())
+
+
 def list_workbooks(
     spark: SparkSession, folder: str, prefix: str = fixed.WORKBOOK_PREFIX, pattern: str | None = None
 ) -> DataFrame:
     """`file` per workbook of one folder, without opening any."""
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern or workbook_glob(prefix=prefix))
-    return reader.load(folder).where(~is_lock_file()).select(F.col("path").alias("file"))
+    return workbook_files(spark, folder, pattern or workbook_glob(prefix=prefix)).select(F.col("path").alias("file"))
 
 
 def raw_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,9 +92,8 @@ def scan_files(files: DataFrame) -> DataFrame:
 
 def scan_workbooks(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """`raw_rows` of all workbooks of a folder, or of exactly the given files."""
-    reader = spark.read.format("binaryFile")
     if isinstance(paths, str):
-        return scan_files(reader.option("pathGlobFilter", workbook_glob()).load(paths))
+        return scan_files(workbook_files(spark, paths))
     if not paths:
         return spark.createDataFrame([], RAW_ROWS)
-    return scan_files(reader.load([literal_path(path) for path in paths]))
+    return scan_files(spark.read.format("binaryFile").load([literal_path(path) for path in paths]))

@@ -116,6 +116,23 @@ def test_import_new_opens_what_it_lists(tables, folder):
     assert counts(tables) == {(2025, 7): 33, (2025, 8): 20, (2024, 10): 7}
 
 
+def test_long_listing(tables, folder):
+    """Of 50,000 names only those of new months are read, chosen while the scan is planned."""
+    tables.create()
+    imports.import_selected(tables, str(folder), [1])
+    for k in range(50_000):
+        (folder / f"LOGGER RAWDATA_2507_{k}.xlsx").write_bytes(b"x")
+    (folder / "LOGGER RAWDATA_25x7.xlsx").write_bytes(b"x")
+    new, others = imports.new_and_others(tables, str(folder))
+    assert [r["path"].rsplit("_", 1)[1] for r in new.select("path").collect()] == ["2508.xlsx"]
+    read = new.select("path", "content")
+    assert len(read.collect()) == 1
+    scan = read._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 1
+    reasons = {r["problem"]: r["count"] for r in others.groupBy("problem").count().collect()}
+    assert reasons == {imports.ALREADY_LOADED: 50_001, "month in the name is not a number": 1}
+
+
 def test_first_file_per_month_only(tables, folder):
     write_logger(folder, "LOGGER RAWDATA_2507_b.xlsx", samples(datetime(2025, 7, 9), 5))
     summary = imports.import_new(tables, str(folder), first_file_per_month_only=True)
