@@ -1,4 +1,4 @@
-"""Small files and folders in whatever store Spark writes to."""
+"""Folders in whatever store Spark writes to."""
 
 from __future__ import annotations
 
@@ -17,28 +17,6 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().toString() for status in store.globStatus(place) or [])
 
 
-def read_text(spark: SparkSession, path: str) -> str:
-    place, store = _open(spark, path)
-    stream = store.open(place)
-    try:
-        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-
-
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """The file appears whole under its name, or not at all."""
-    folder, _, name = path.rpartition("/")
-    waiting, store = _open(spark, f"{folder}/.{name}.part")
-    stream = store.create(waiting, True)
-    try:
-        stream.write(bytearray(text.encode()))
-    finally:
-        stream.close()
-    if not store.rename(waiting, _open(spark, path)[0]):
-        raise OSError(f"{path} exists: another writer was faster")
-
-
 def delete(spark: SparkSession, path: str) -> None:
     place, store = _open(spark, path)
     store.delete(place, True)

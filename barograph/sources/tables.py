@@ -1,16 +1,14 @@
-"""The stored tables: readings partitioned by file month, and daily statistics.
+"""The stored tables: readings partitioned by load and file month, and daily statistics.
 
-Every load writes its readings to a folder of its own, every rewrite of another table to a
-new version. The ledger says what is current: which loads hold the rows of which file month,
-and the versions. It is one small file per entry; the last one holds the whole state. A
-failure before the last entry leaves the table as it was, on any store in which a single
-file appears whole. One writer at a time is assumed.
+Every load writes its readings to partitions of its own, every rewrite of another table to a
+new version. What is current is a small Parquet table: a row per load and file month whose rows
+count, and a row per counter. It is written by Spark, whole, to a new folder for every change; the last
+folder that Spark has marked as complete (`_SUCCESS`) holds. A failure before that leaves the tables as they were. Readings are
+read by a join with the current loads and months, which prunes their partitions. One writer at a time is assumed.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,110 +17,134 @@ from barograph.schema import DAILY, MONTH_KEYS, READINGS, as_readings
 from barograph.sources import storage
 
 Month = tuple[int, int]
-ENTRIES_KEPT = 20
+STATES_KEPT = 200
+#: `name` is ``LOADED`` for loads and names a counter otherwise: the last id and load handed out, and versions of tables.
+STATE = "load string, year int, month int, name string, number long"
+LOADED = "loaded"
+LOAD_KEYS = ["load", *MONTH_KEYS]
+LAST_ID, LAST_LOAD, DAILY_TABLE = "last id", "last load", "daily_statistics"
 
 
 class SensorTables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._known: tuple[int, dict[str, int]] = (0, {})
+
+    # What is current
 
-    # Ledger
+    def _state_number(self) -> int:
+        """The last complete state; 0 before the first."""
+        begun = reversed(storage.matching(self.spark, f"{self.root}/state/v*"))
+        last = next((path for path in begun if storage.matching(self.spark, f"{path}/_SUCCESS")), "/v0")
+        return int(last.rsplit("/v", 1)[1])
 
-    def _entry(self, number: int) -> str:
-        return f"{self.root}/ledger/entry-{number:010d}.json"
+    def _state(self) -> DataFrame:
+        number = self._state_number()
+        if not number:
+            return self.spark.createDataFrame([], STATE)
+        return self.spark.read.schema(STATE).parquet(self._path("state", number))
 
-    def _state(self) -> dict:
-        """What is current: the loads' file months, the highest id handed out, versions."""
-        entries = storage.matching(self.spark, f"{self.root}/ledger/entry-*.json")
-        if not entries:
-            return {"entry": 0, "last_id": 0, "last_load": 0, "loads": None, "versions": {}}
-        return json.loads(storage.read_text(self.spark, entries[-1]))
+    def _current(self) -> DataFrame:
+        """`load`, `year` and `month` of the readings that count.
 
-    def _enter(self, state: dict, **changes) -> dict:
-        state = {**state, **changes, "entry": state["entry"] + 1}
-        storage.write_text(self.spark, self._entry(state["entry"]), json.dumps(state))
-        if state["entry"] > ENTRIES_KEPT:
-            storage.delete(self.spark, self._entry(state["entry"] - ENTRIES_KEPT))
-        return state
+        The comparison tells Spark that the table is worth pruning the readings' partitions by.
+        """
+        return self._state().where(F.col("name") == LOADED).select(*LOAD_KEYS)
+
+    def _counters(self) -> dict[str, int]:
+        """The counters by name; read once per state."""
+        number = self._state_number()
+        if self._known[0] != number:
+            rows = self._state().where(F.col("name") != LOADED).select("name", "number").collect()
+            self._known = (number, {r["name"]: r["number"] for r in rows})
+        return dict(self._known[1])
+
+    def _enter(self, counters: dict[str, int], loads: DataFrame | None = None) -> None:
+        """Change counters, and make ``loads`` current or leave those that are."""
+        counted = {**self._counters(), **counters}
+        rows = [(None, None, None, name, n) for name, n in counted.items()]
+        known = (self._current() if loads is None else loads).select(*LOAD_KEYS)
+        state = known.selectExpr("*", f"'{LOADED}' AS name", "CAST(NULL AS bigint) AS number")
+        last = self._state_number()
+        begun = storage.matching(self.spark, f"{self.root}/state/v*")
+        number = 1 + (int(begun[-1].rsplit("/v", 1)[1]) if begun else 0)  # a broken off one is not written to again
+        state.unionByName(self.spark.createDataFrame(rows, STATE)).coalesce(1).write.parquet(self._path("state", number))
+        if last > STATES_KEPT:
+            storage.delete(self.spark, self._path("state", last - STATES_KEPT))
 
     def _version(self, table: str) -> int:
-        return self._state()["versions"].get(table, 0)
+        return self._counters().get(f"version of {table}", 0)
 
     def _enter_version(self, table: str, version: int) -> None:
-        state = self._state()
-        self._enter(state, versions={**state["versions"], table: version})
+        self._enter({f"version of {table}": version})
 
     def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v{version:06d}"
+        return f"{self.root}/{table}/v{version:010d}"
 
     # Readings
 
     def create(self) -> None:
         """Create the tables that do not exist yet, empty."""
-        if self._state()["loads"] is None:
-            self._enter(self._state(), loads={})
-        if self._version("daily_statistics") == 0:
+        if self._version(DAILY_TABLE) == 0:
             self.replace_daily(self.spark.createDataFrame([], DAILY))
 
     def _load_path(self, load: str) -> str:
         return f"{self.root}/readings/load={load}"
 
     def readings(self) -> DataFrame:
-        loads = self._state()["loads"] or {}
-        paths = [f"{self._load_path(load)}/year={y}/month={m}" for load, months in loads.items() for y, m in months]
-        if not paths:
+        current = self._current()
+        if not storage.matching(self.spark, f"{self.root}/readings"):
             return self.spark.createDataFrame([], READINGS)
         stored = T.StructType([*READINGS, T.StructField("load", T.StringType())])
-        reader = self.spark.read.schema(stored).option("basePath", f"{self.root}/readings")
-        return as_readings(reader.parquet(*paths))
+        rows = self.spark.read.schema(stored).parquet(f"{self.root}/readings")
+        return as_readings(rows.join(current, LOAD_KEYS))
 
     def months(self) -> list[Month]:
-        """The file months that have rows, from the ledger alone; at most 9,900."""
-        return sorted({(y, m) for months in (self._state()["loads"] or {}).values() for y, m in months})
+        """The file months that have rows, from the state alone; at most 9,900."""
+        found = self._current().select(*MONTH_KEYS).distinct().orderBy(*MONTH_KEYS).collect()
+        return [(r["year"], r["month"]) for r in found]
 
     def month_frame(self) -> DataFrame:
-        return self.spark.createDataFrame(self.months(), "year int, month int")
+        return self._current().select(*MONTH_KEYS).distinct()
 
     def reserve_ids(self, count: int) -> int:
         """The id before the first of `count` new ones; a failed load leaves a gap."""
-        state = self._state()
-        self._enter(state, last_id=state["last_id"] + count)
-        return state["last_id"]
+        last = self._counters().get(LAST_ID, 0)
+        self._enter({LAST_ID: last + count})
+        return last
 
     def append_readings(self, readings: DataFrame) -> None:
-        load, months = self._store(readings)
-        state = self._state()
-        self._enter(state, loads={**(state["loads"] or {}), load: months})
+        stored = self._store(readings)
+        self._enter({}, self._current().unionByName(stored))
 
     def replace_months(self, readings: DataFrame) -> None:
         """Let `readings` stand for the file months that occur in them and for no others."""
-        load, months = self._store(readings)
-        state = self._state()
-        kept = {k: [m for m in own if m not in months] for k, own in (state["loads"] or {}).items()}
-        self._enter(state, loads={**{k: own for k, own in kept.items() if own}, load: months})
+        stored = self._store(readings)
+        self._enter({}, self._current().join(stored, MONTH_KEYS, "left_anti").unionByName(stored))
 
     def replace_readings(self, readings: DataFrame, last_id: int = 0) -> None:
         """Make `readings`, numbered up to ``last_id``, the whole table."""
-        load, months = self._store(readings)
-        self._enter(self._state(), loads={load: months}, last_id=last_id)
+        stored = self._store(readings)
+        self._enter({LAST_ID: last_id}, stored)
 
     def clear(self) -> None:
         """Empty the readings, keep their structure; ids start over, daily statistics stay."""
-        self._enter(self._state(), loads={}, last_id=0)
+        self._enter({LAST_ID: 0}, self._current().limit(0))
 
-    def _store(self, readings: DataFrame) -> tuple[str, list[list[int]]]:
-        """Write a load; its number, and the file months that it holds.
+    def _store(self, readings: DataFrame) -> DataFrame:
+        """Write a load; its number with each file month that it holds.
 
         The number is taken before the rows are written, so what a failed load leaves behind
         is never written to again.
         """
-        state = self._state()
-        state = self._enter(state, last_load=state["last_load"] + 1)
-        load = f"{state['last_load']:06d}"
+        number = self._counters().get(LAST_LOAD, 0) + 1
+        self._enter({LAST_LOAD: number})
+        load = f"{number:06d}"
         self._write_months(readings, self._load_path(load))
         folders = storage.matching(self.spark, f"{self._load_path(load)}/year=*/month=*")
-        return load, [[int(part.partition("=")[2]) for part in folder.split("/")[-2:]] for folder in folders]
+        months = [[int(part.partition("=")[2]) for part in folder.split("/")[-2:]] for folder in folders]
+        return self.spark.createDataFrame([(load, *month) for month in months], "load string, year int, month int")
 
     def _write_months(self, readings: DataFrame, path: str) -> None:
         """Files of one month each, sorted by time.
@@ -143,12 +165,12 @@ class SensorTables:
     # Daily statistics
 
     def daily_statistics(self) -> DataFrame:
-        return self.spark.read.schema(DAILY).parquet(self._path("daily_statistics", self._version("daily_statistics")))
+        return self.spark.read.schema(DAILY).parquet(self._path(DAILY_TABLE, self._version(DAILY_TABLE)))
 
     def replace_daily(self, daily: DataFrame) -> None:
-        version = self._version("daily_statistics") + 1
-        daily.write.mode("overwrite").parquet(self._path("daily_statistics", version))
-        self._enter_version("daily_statistics", version)
+        version = self._version(DAILY_TABLE) + 1
+        daily.write.mode("overwrite").parquet(self._path(DAILY_TABLE, version))
+        self._enter_version(DAILY_TABLE, version)
 
     # Import reports
 

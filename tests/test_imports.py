@@ -3,6 +3,7 @@
 import os
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from xlsx_files import write_logger
@@ -116,6 +117,25 @@ def test_import_new_opens_what_it_lists(tables, folder):
     assert counts(tables) == {(2025, 7): 33, (2025, 8): 20, (2024, 10): 7}
 
 
+def test_only_current_loads_are_read(tables, folder):
+    """Partitions of replaced months are pruned by the table of current loads, and a state that broke off doesn't count."""
+    imports.import_all(tables, str(folder))
+    imports.import_selected(tables, str(folder), [2], on_existing="replace")
+    rows = sorted(map(tuple, tables.readings().drop("created_at").collect()))
+    readings = tables.readings()
+    assert len(readings.collect()) == 48
+    plan = readings._jdf.queryExecution().explainString(readings._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("extended"))
+    assert "dynamicpruning" in plan
+    assert {p.name for p in (Path(tables.root) / "readings").iterdir() if p.is_dir()} == {"load=000001", "load=000002"}
+    state = max((Path(tables.root) / "state").iterdir())
+    broken = state.with_name(f"v{int(state.name[1:]) + 1:010d}")
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"cut off")
+    assert sorted(map(tuple, tables.readings().drop("created_at").collect())) == rows
+    imports.import_selected(tables, str(folder), [1], on_existing="append")
+    assert counts(tables) == {(2025, 7): 56, (2025, 8): 20}
+
+
 def test_long_listing(tables, folder):
     """Of 50,000 names only those of new months are read, chosen while the scan is planned."""
     tables.create()
