@@ -10,7 +10,8 @@ An anchor that occurs more than ``HOT`` times would gather too much in one group
 whole string instead, and only those whose hash occurs twice are sent. A block sends equal segments once.
 
 Cases: null counts as empty; texts shorter than a string keep all; rows alike are texts like any others, so both lose what
-they share; a null doc_id stays null; no rows give no rows.
+they share; a null doc_id stays null; a text is never cut, so one longer than a block is a block of its own, read whole by one
+task; ties can't arise; no rows give no rows.
 """
 
 from __future__ import annotations

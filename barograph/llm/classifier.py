@@ -8,7 +8,8 @@ labels is the quantile of the training scores at which most training labels are
 The fit reads ``SAMPLE`` labelled rows at most, those with the lowest hash of their id; everything else covers all rows.
 Cases: a null or empty text has features of zero and gets a score; labels that are null, or that contradict each other
 for one id, are left out, and repeated ones count once; with labels of one kind only, every score is 0.5; rows alike get
-the same score; a null doc_id isn't held out; no rows give no rows.
+the same score; a null doc_id isn't held out; texts of any length are read whole, each in one task; of equally good separating scores
+the middle one is taken; no rows give no rows.
 """
 
 from __future__ import annotations

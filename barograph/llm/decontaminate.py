@@ -12,7 +12,8 @@ window would go to the join and the result would be the same.
 An overlap counts if it spans 80 % of the item's words, or ``ENOUGH`` words of a longer item. Cases: null and empty texts
 have no words; an item of fewer than ``LEAST`` words matches nothing; an item shorter than the longest mask also matches
 by all its words in a row; a null doc_id or item_id stays null in the result; documents alike give rows alike; items that
-are repeated under one id count once; empty tables give no rows.
+are repeated under one id count once; texts of any length are read whole, each in one task; of overlaps of one length in
+one alignment, any may stand for it, as only its length counts; empty tables give no rows.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ Every document gets a random key, a hash of its id. Within each source the docum
 ranges, prefix sums of their sizes run across the ranges, and the source is cut where its budget ends. A budget
 larger than the source repeats it in whole epochs before the cut.
 
-Cases: a null text has size 0; a null source is a source of its own, last in order; rows alike in key, id and size
+Cases: a null text has size 0; texts of any length are counted whole; a null source is a source of its own, last in order; rows alike in key, id and size
 share one place in the order, so reruns agree; a table without rows or without words has targets of 0.
 """
 

@@ -6,7 +6,8 @@ by equality and verified. A variant shared by very many fingerprints is cut agai
 quarters of its other half; what then agrees has at most 18 bits free, which bounds every group.
 
 Cases: a null or empty text has no words and fingerprint 0; fewer than three words make one shingle; a null doc_id keeps
-its row, and a component has the smallest id that isn't null; rows alike are one fingerprint; no rows give no rows.
+its row, and a component has the smallest id that isn't null; rows alike are one fingerprint; texts of any length are read whole, each
+in one task; a bit that is set in exactly half the hashes is 0; no rows give no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ repeated escapes, and what the estimate lets through by chance is alone in its g
 Before the windows of a block are sent, repeats within the block are taken together, so a window that stands in every
 document is sent once per block. Widths grow with the text, so the share of chance hits doesn't.
 
-Cases: words are as in ``words.WORD``, null texts have none; documents shorter than a window keep all; a null doc_id counts
+Cases: words are as in ``words.WORD``, null texts have none; documents shorter than a window keep all; a text is never cut,
+so one longer than a block is a block of its own, read whole by one task; there are no ties, as places are ordered; a null doc_id counts
 as the largest; rows with one doc_id count as one place, so rows alike are treated alike; no rows give no rows.
 """
 

@@ -12,7 +12,9 @@ lines is dealt to parts by hash; each is parsed by itself, and the parts' templa
 are parsed once more by the same rule. So a task gathers the lines of a part or the templates of a leaf.
 
 Cases: a null or empty text has no lines; lines of fewer than ``TOKENS`` tokens always stay; a null doc_id counts as the
-largest; rows alike count as one document and are treated alike; no rows give no rows.
+largest; rows alike count as one document and are treated alike; very long texts are read whole, each in one task, and very long lines are lines like
+any others; of equally frequent lines the one with the smaller hash is placed first in its leaf, and of equally similar templates the first
+one takes a line; no rows give no rows.
 """
 
 from __future__ import annotations
