@@ -1,4 +1,9 @@
-"""The corpus pipeline: quality, near-duplicates, benchmark passages, mixing, packed tokens."""
+"""The corpus pipeline: quality, near-duplicates, benchmark passages, mixing, packed tokens.
+
+Cases, for all stages: a null text counts as empty, a null source as a source of its own; rows are told apart by all their
+columns, so a repeated or null doc_id does no harm; texts of any length are handled whole, each in one task; a stage that is given
+no rows returns none; further columns of the documents are left behind. What decides ties is said at each stage.
+"""
 
 from __future__ import annotations
 
@@ -21,14 +26,17 @@ def row_key() -> Column:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on all labelled documents of the corpus, does not reject."""
+    """Documents that the classifier, fitted on all labelled documents of the corpus, does not reject; a score of exactly 0.5 stays."""
     model = classifier.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
     kept = classifier.classify(docs.select(*COLUMNS, F.col("text").alias("_read")), model, "_score")
     return kept.filter("_score >= 0.5").select(*COLUMNS)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document of the smallest id; of several rows of that id, the first by hash."""
+    """Of each group of near-duplicates the document of the smallest id; of several rows of that id, the first by hash.
+
+    Near means 3 of 64 bits over shingles of three words. Copies in which a few words differ are often further apart and stay.
+    """
     keyed = docs.select(*COLUMNS, row_key().alias("_key"))
     found = simhash.simhash_components(spark, keyed, carry=["_key"])
     stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
@@ -43,7 +51,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that share no passage with the benchmark."""
+    """Documents that share no passage with the benchmark; a text without words shares none."""
     keyed = docs.select(*COLUMNS, row_key().alias("_key"))
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontaminate.contaminated(spark, keyed.select(F.col("_key").alias("doc_id"), "text"), items)
@@ -53,7 +61,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 @F.arrow_udf(T.StringType())
 def first_words(texts: pa.Array, counts: pa.Array) -> pa.Array:
-    """The texts up to the end of their word number ``counts``."""
+    """The texts up to the end of their word number ``counts``, which is at least 1 and at most their number of words."""
     data, offsets = flat(texts)
     _, ends, row = spans(data, offsets)
     last = np.searchsorted(row, np.arange(len(texts))) + counts.to_numpy(zero_copy_only=False) - 1
@@ -61,7 +69,10 @@ def first_words(texts: pa.Array, counts: pa.Array) -> pa.Array:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a document's whole copies, and where its source's budget ends within it, its first words."""
+    """The mix: a document's whole copies, and where its source's budget ends within it, its first words.
+
+    Texts without words count for nothing and are left out. Rows alike share one place in the order and are taken together.
+    """
     keyed = docs.select(*COLUMNS, row_key().alias("_key"))
     taken = mixing.mix_sources(spark, keyed, carry=["_key"])
     units = taken.groupBy("_key").agg(
@@ -86,7 +97,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows of token ids."""
+    """Rows of token ids. Texts without tokens take no room; a text longer than a row goes on in further pieces."""
     return packing.pack(docs)
 
 
@@ -103,7 +114,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in order; each one's rows are written to the shared folder and read again by the next."""
+    """All stages in order; each one's rows are written to the shared folder and read again by the next. An empty corpus
+    gives no rows."""
     area = WorkArea(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
