@@ -71,7 +71,8 @@ def first_words(texts: pa.Array, counts: pa.Array) -> pa.Array:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: a document's whole copies, and where its source's budget ends within it, its first words.
 
-    Texts without words count for nothing and are left out. Rows alike share one place in the order and are taken together.
+    Texts without words take nothing of the budget and go along where their place in the order is taken. Rows alike share one
+    place and are taken together.
     """
     keyed = docs.select(*COLUMNS, row_key().alias("_key"))
     taken = mixing.mix_sources(spark, keyed, carry=["_key"])
