@@ -1,6 +1,7 @@
 """SimHash (op7) and embeddings (op8)."""
 
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -99,6 +100,43 @@ def test_many_vectors_of_one_label(spark):
     assert n[:1850].sum() >= 0.95 * exact[:1850].sum()
 
 
+def brute_links(every, least=0.93):
+    unit = every.astype(float) / np.linalg.norm(every.astype(float), axis=1, keepdims=True)
+    return [np.flatnonzero(near >= least) for near in unit @ unit.T]
+
+
+def agreement(spark, every):
+    """Share of each vector's links found, after checks that hold for any recall."""
+    got = {d: (n, c) for d, n, c in linked(spark, [(i, v.tolist(), 7) for i, v in enumerate(every)])}
+    exact = brute_links(every)
+    sizes = Counter(c for _, c in got.values())
+    for i, near in enumerate(exact):
+        n, component = got[i]
+        assert n <= len(near) - 1
+        assert (n > 0) == (sizes[component] > 1)  # no link is counted at one end only
+    return np.array([got[i][0] / (len(near) - 1) if len(near) > 1 else np.nan for i, near in enumerate(exact)])
+
+
+def test_pairs_are_counted_at_both_ends(spark):
+    """Vectors of one label and a noisy copy of each, just in range or just out of it, beside a crowd."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((3000, 64))
+    copies = base + 0.385 * rng.standard_normal((3000, 64))
+    crowd = rng.standard_normal(64) + 0.05 * rng.standard_normal((1500, 64))
+    every = np.concatenate([base, copies, crowd]).astype(np.float32)
+    shares = agreement(spark, every)
+    assert 500 < np.isfinite(shares[:6000]).sum() < 6000
+    assert np.nanmean(shares[:6000]) >= 0.95 and np.nanmean(shares[6000:]) >= 0.95
+
+
+def test_recall_of_single_vectors(spark):
+    """Few dimensions, so that ordinary vectors have many links across cells, and a crowd that holds most links."""
+    rng = np.random.default_rng(9)
+    crowd = rng.standard_normal(8) + 0.05 * rng.standard_normal((1500, 8))
+    every = np.concatenate([rng.standard_normal((6000, 8)), crowd]).astype(np.float32)
+    assert np.nanmean(agreement(spark, every)[:6000]) >= 0.9
+
+
 def test_small_vectors(spark):
     rows = duckdb.sql(f"SELECT vec_id, embedding, label FROM '{SMALL_DIR}/embeddings.parquet'").fetchall()
     assert counted(linked(spark, rows)) == counted(vectors(rows))
@@ -109,3 +147,5 @@ def test_audit_sees_what_is_missing(spark):
     classes = spark.createDataFrame([(r[1], r[2], r[0], r[3], r[4]) for r in rows], "label int, dim int, rep long, copies long, embedding array<double>")
     half = spark.createDataFrame([(i, None, 19) for i in range(40)], "a long, b long, n long")
     assert abs(embeddings.audit(classes, half) - 19 / 39) < 1e-9
+    few = spark.createDataFrame([(i, None, 39 if i % 4 else 0) for i in range(40)], "a long, b long, n long")
+    assert abs(embeddings.audit(classes, few) - 0.75) < 1e-9
