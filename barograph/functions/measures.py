@@ -21,8 +21,12 @@ def hundredths(name: str) -> Column:
 
 def mean(name: str, places: int = 6) -> Column:
     """Mean rounded half away from zero, once, to ``places`` decimals; NULL without values."""
-    total = F.sum(hundredths(name)).cast("decimal(19,0)")
-    count = F.count(name).cast("decimal(19,0)")
+    return mean_of(F.sum(hundredths(name)), F.count(name), places)
+
+
+def mean_of(total: Column, count: Column, places: int = 6) -> Column:
+    """The same from a sum of hundredths and a number of values."""
+    total, count = total.cast("decimal(19,0)"), count.cast("decimal(19,0)")
     return (F.round(F.try_divide(total, count), places - 2) * F.lit("0.01").cast("decimal(2,2)")).cast(
         f"decimal({places + 8},{places})"
     )

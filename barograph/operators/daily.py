@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barograph.functions.calendar import sample_date
-from barograph.functions.measures import highest, lowest, mean, rows, spread
+from barograph.functions.measures import highest, hundredths, lowest, mean, mean_of, rows, spread
 from barograph.operators.select_rows import in_month
-from barograph.schema import DAILY, DEVICE_TEMP, HUMIDITY, STATISTIC, STATISTICS, TEMPERATURE
+from barograph.schema import CHANNEL, DAILY, DEVICE_TEMP, HUMIDITY, PARTIAL_OF, PARTIALS, STATISTIC, STATISTICS, TEMPERATURE
 
 MEASURES = [*STATISTICS, "record_count"]
 FIRST_SEEN = ["year", "month", "day"]
@@ -29,6 +29,33 @@ def measures():
     return [*[by_name[n].cast(STATISTIC).alias(n) for n in STATISTICS], rows().alias("record_count")]
 
 
+def daily_partials(readings: DataFrame) -> DataFrame:
+    """Sums of hundredths, counts and extremes per date and file month.
+
+    Those of several loads give the statistics of all their rows, exactly, so a load is read for them once.
+    """
+    parts = []
+    for name, channel in PARTIAL_OF.items():
+        parts += [
+            F.sum(hundredths(channel)).alias(f"{name}_total"),
+            F.count(channel).alias(f"{name}_count"),
+            highest(channel).alias(f"{name}_max"),
+            lowest(channel).alias(f"{name}_min"),
+        ]
+    groups = readings.groupBy(sample_date().alias("date"), "year", "month").agg(*parts, rows().alias("record_count"))
+    return groups.select(PARTIALS.names)
+
+
+def measures_of_partials():
+    by_name = {}
+    for name in PARTIAL_OF:
+        by_name[f"avg_{name}"] = mean_of(F.sum(f"{name}_total"), F.sum(f"{name}_count"), 2)
+        by_name[f"max_{name}"] = highest(f"{name}_max")
+        by_name[f"min_{name}"] = lowest(f"{name}_min")
+        by_name[f"{name}_delta"] = (F.max(f"{name}_max") - F.min(f"{name}_min")).cast(CHANNEL)
+    return [*[by_name[n].cast(STATISTIC).alias(n) for n in STATISTICS], F.sum("record_count").alias("record_count")]
+
+
 def daily_statistics_groups(readings: DataFrame) -> DataFrame:
     """One row per date and file month; a date can occur in more than one file."""
     groups = readings.groupBy(sample_date().alias("date"), "year", "month").agg(*measures())
@@ -43,14 +70,23 @@ def daily_statistics(readings: DataFrame, collision: str = "last_file") -> DataF
     repeated upserts in file order leave them. ``merge``: statistics over all rows of the
     date.
     """
+    return by_date(readings.withColumn("date", sample_date()), measures(), collision)
+
+
+def statistics_of_partials(partials: DataFrame, collision: str = "last_file") -> DataFrame:
+    """``daily_statistics`` of the readings that the partials stand for."""
+    return by_date(partials, measures_of_partials(), collision)
+
+
+def by_date(parts: DataFrame, measured: list[Column], collision: str) -> DataFrame:
     file_month = F.col("year") * 100 + F.col("month")
     if collision == "merge":
-        dates = readings.groupBy(sample_date().alias("date"))
-        merged = dates.agg(F.min(file_month).alias("first_month"), *measures())
+        merged = parts.groupBy("date").agg(F.min(file_month).alias("first_month"), *measured)
     elif collision == "last_file":
         # A second aggregate over the few rows per date that the first one leaves.
         merged = (
-            daily_statistics_groups(readings)
+            parts.groupBy("date", "year", "month")
+            .agg(*measured)
             .groupBy("date")
             .agg(
                 F.min(file_month).alias("first_month"),

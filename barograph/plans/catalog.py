@@ -166,6 +166,12 @@ def daily_upsert(_: SparkSession, readings: DataFrame) -> DataFrame:
     return second_run.drop("id", "created_at", "updated_at")
 
 
+def daily_of_loads(_: SparkSession, readings: DataFrame) -> DataFrame:
+    """The statistics of two loads from the partials of each."""
+    loaded, incoming = loaded_and_incoming(readings)
+    return daily.statistics_of_partials(daily.daily_partials(loaded).unionByName(daily.daily_partials(incoming)))
+
+
 def with_load(mode) -> Callable[[SparkSession, DataFrame], DataFrame]:
     return lambda _, readings: mode(*loaded_and_incoming(readings))
 
@@ -175,6 +181,7 @@ ON_READINGS: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     **{f.__name__: (lambda _, r, f=f: f(r)) for f in OF_ALL_READINGS},
     "daily_statistics_merged": lambda _, r: daily.daily_statistics(r, "merge"),
     "daily_statistics_upsert": daily_upsert,
+    "daily_statistics_of_loads": daily_of_loads,
     "daily_recent": lambda _, r: daily.daily_recent(daily.daily_statistics(r)),
     "daily_month": lambda _, r: daily.daily_month(daily.daily_statistics(r), YEAR, MONTH),
     "daily_temp_trend": lambda _, r: daily.daily_temp_trend(daily.daily_statistics(r), YEAR, MONTH),

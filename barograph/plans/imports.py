@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barograph.operators import daily, ingest, loading
@@ -137,17 +137,16 @@ def load_raw_rows(
 def refresh_daily(tables: SensorTables, first_date=None, last_date=None, collision: str = "last_file") -> None:
     """Upsert the daily statistics, of all dates or of a range.
 
-    A range reads all file months of its dates, so that same-date collisions come out as
-    in a full run; the predicate on the sample time reaches the Parquet row groups, which
-    are sorted by it.
+    They are put together from the partials that every load has written, a row per date and
+    file month; no readings are read. A range takes all file months of its dates, so that
+    same-date collisions come out as in a full run.
     """
-    readings = tables.readings()
+    partials = tables.daily_partials()
     if first_date is not None:
-        readings = readings.where(F.col("record_time") >= F.lit(first_date).cast("timestamp_ntz"))
+        partials = partials.where(F.col("date") >= F.lit(first_date))
     if last_date is not None:
-        end = F.date_add(F.lit(last_date), 1).cast("timestamp_ntz")
-        readings = readings.where(F.col("record_time") < end)
-    fresh = daily.daily_statistics(readings, collision)
+        partials = partials.where(F.col("date") <= F.lit(last_date))
+    fresh = daily.statistics_of_partials(partials, collision)
     tables.replace_daily(daily.upsert_daily(tables.daily_statistics(), fresh))
 
 
@@ -227,6 +226,55 @@ def import_selected(
     return load_raw_rows(tables, raw_rows, on_existing, first_file_per_month_only, refresh_stats=refresh_stats), invalid
 
 
+def of_months(year: Column, month: Column, months: Iterable[tuple[int, int]]) -> Column:
+    """Whether a month is one of the given; at most ``MONTH_LIMIT`` literals, which a listing can be held against."""
+    return F.coalesce((year * 100 + month).isin([y * 100 + m for y, m in months]), F.lit(False))
+
+
+def import_changed(tables: SensorTables, folder: str, refresh_stats: bool = True) -> DataFrame | None:
+    """Bring the stored months up to date with a folder whose workbooks are corrected in place.
+
+    A workbook is opened if its time or size differs from when it was last seen here, or if another one of its file month
+    does. Months in which a workbook is new, gone or has another content (by SHA-256) are replaced by what their workbooks
+    hold now; the import summary is returned, or None where nothing has changed. Workbooks that were only touched are
+    remembered with their new time and give no load.
+
+    Cases: the first run takes in every month, also those that another import has loaded; a month keeps its readings where all
+    its workbooks are gone, or none of them has a sample; a workbook that cannot be read is named in the summary and opened
+    again when it changes; names without a month are passed over. A run that breaks off is repeated by the next one, to
+    the same result.
+    """
+    tables.create()
+    files = workbook_files(tables.spark, folder)
+    year, month, problem = month_in_name(F.col("_metadata.file_name"))
+    seen = [
+        F.col("path").alias("file"),
+        year.alias("year"),
+        month.alias("month"),
+        F.col("modificationTime").alias("modified"),
+        F.col("length").alias("size"),
+    ]
+    with work_area(tables.spark) as area:
+        known = tables.taken_in()
+        listed = area.stage(files.where(problem.isNull()).select(*seen), "listed")
+        altered = listed.join(known, ["file", "modified", "size"], "left_anti").select(*MONTH_KEYS)
+        gone = known.join(listed, "file", "left_anti").join(loading.month_list(listed), MONTH_KEYS, "left_semi")
+        suspect = months_in(altered.union(gone.select(*MONTH_KEYS)))
+        if not suspect:
+            return None
+        opened = files.where(of_months(year, month, suspect))
+        prints = area.stage(opened.select(*seen, F.sha2("content", 256).alias("fingerprint")), "prints")
+        other = prints.join(known, ["file", "fingerprint"], "left_anti").select(*MONTH_KEYS)
+        changed = months_in(other.union(gone.select(*MONTH_KEYS)))
+        summary = None
+        if changed:
+            raw_rows = scan_files(files.where(of_months(year, month, changed)))
+            summary = load_raw_rows(tables, raw_rows, "replace", refresh_stats=refresh_stats)
+        rest = known.where(~of_months(F.col("year"), F.col("month"), suspect))
+        tables.replace_taken_in(rest.unionByName(prints))
+    return summary
+
+
 def rebuild(tables: SensorTables, folder: str) -> DataFrame:
     """Load a folder from scratch and bring the statistics up to date.
 

@@ -294,6 +294,7 @@ BODIES = {
     "daily_statistics_upsert": f"""SELECT date, coalesce(o.year, n.year) AS year, coalesce(o.month, n.month) AS month,
         coalesce(o.day, n.day) AS day, {UPSERT_VALUES}
         FROM ({daily("loaded")}) o FULL JOIN ({daily("incoming")}) n USING (date)""",
+    "daily_statistics_of_loads": daily("(SELECT * FROM loaded UNION ALL SELECT * FROM incoming)"),
     "daily_recent": f"""SELECT date, avg_temperature, avg_humidity, avg_device_temp, max_temperature, min_temperature,
         temperature_delta, humidity_delta, record_count FROM ({daily("readings")}) ORDER BY date DESC LIMIT 10""",
     "daily_month": f"SELECT * FROM ({daily('readings')}) WHERE year = 2024 AND month = 1",

@@ -57,6 +57,25 @@ DAILY = T.StructType(
     ]
 )
 
+#: What the daily statistics of several loads are put together from, one row per date and file month of a load.
+PARTIAL_OF = {"temperature": TEMPERATURE, "humidity": HUMIDITY, "device_temp": DEVICE_TEMP}
+PARTIALS = T.StructType(
+    [
+        T.StructField("date", T.DateType()),
+        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.IntegerType()),
+        *[
+            T.StructField(f"{name}_{part}", kind)
+            for name in PARTIAL_OF
+            for part, kind in (("total", T.LongType()), ("count", T.LongType()), ("max", CHANNEL), ("min", CHANNEL))
+        ],
+        T.StructField("record_count", T.LongType()),
+    ]
+)
+
+#: Workbooks as they were when they were last compared with the stored months.
+TAKEN_IN = "file string, year int, month int, modified timestamp, size long, fingerprint string"
+
 # One row per worksheet row. `lead` repeats the first cell so that the search for the
 # data marker reads flat columns only. A workbook that cannot be read has a row numbered
 # UNREADABLE with the error as its `lead`.

@@ -1,6 +1,7 @@
 """The stored tables: readings partitioned by load and file month, and daily statistics.
 
-Every load writes its readings to partitions of its own, every rewrite of another table to a
+Every load writes its readings to partitions of its own, and beside them what its daily statistics are put together from
+(`daily_partials`), which later refreshes read in place of the readings. Every rewrite of another table to a
 new version. What is current is a small Parquet table: a row per load and file month whose rows
 count, and a row per counter. It is written by Spark, whole, to a new folder for every change; the last
 folder that Spark has marked as complete (`_SUCCESS`) holds. A failure before that leaves the tables as they were. Readings are
@@ -13,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barograph.schema import DAILY, MONTH_KEYS, READINGS, as_readings
+from barograph.operators.daily import daily_partials
+from barograph.schema import DAILY, MONTH_KEYS, PARTIALS, READINGS, TAKEN_IN, as_readings
 from barograph.sources import storage
 
 Month = tuple[int, int]
@@ -22,7 +24,7 @@ STATES_KEPT = 200
 STATE = "load string, year int, month int, name string, number long"
 LOADED = "loaded"
 LOAD_KEYS = ["load", *MONTH_KEYS]
-LAST_ID, LAST_LOAD, DAILY_TABLE = "last id", "last load", "daily_statistics"
+LAST_ID, LAST_LOAD, DAILY_TABLE, FILE_TABLE = "last id", "last load", "daily_statistics", "taken_in"
 
 
 class SensorTables:
@@ -92,13 +94,20 @@ class SensorTables:
     def _load_path(self, load: str) -> str:
         return f"{self.root}/readings/load={load}"
 
+    def _of_loads(self, table: str, schema: T.StructType) -> DataFrame:
+        """The rows of the current loads and months."""
+        if not storage.matching(self.spark, f"{self.root}/{table}"):
+            return self.spark.createDataFrame([], schema)
+        stored = T.StructType([*schema, T.StructField("load", T.StringType())])
+        rows = self.spark.read.schema(stored).parquet(f"{self.root}/{table}")
+        return rows.join(self._current(), LOAD_KEYS).select(schema.names)
+
     def readings(self) -> DataFrame:
-        current = self._current()
-        if not storage.matching(self.spark, f"{self.root}/readings"):
-            return self.spark.createDataFrame([], READINGS)
-        stored = T.StructType([*READINGS, T.StructField("load", T.StringType())])
-        rows = self.spark.read.schema(stored).parquet(f"{self.root}/readings")
-        return as_readings(rows.join(current, LOAD_KEYS))
+        return as_readings(self._of_loads("readings", READINGS))
+
+    def daily_partials(self) -> DataFrame:
+        """What the daily statistics of all readings are put together from: a row per date, file month and load."""
+        return self._of_loads("daily_partials", PARTIALS)
 
     def months(self) -> list[Month]:
         """The file months that have rows, from the state alone; at most 9,900."""
@@ -133,7 +142,7 @@ class SensorTables:
         self._enter({LAST_ID: 0}, self._current().limit(0))
 
     def _store(self, readings: DataFrame) -> DataFrame:
-        """Write a load; its number with each file month that it holds.
+        """Write a load and its partial statistics; its number with each file month that it holds.
 
         The number is taken before the rows are written, so what a failed load leaves behind
         is never written to again.
@@ -142,6 +151,9 @@ class SensorTables:
         self._enter({LAST_LOAD: number})
         load = f"{number:06d}"
         self._write_months(readings, self._load_path(load))
+        written = self.spark.read.schema(READINGS).parquet(self._load_path(load))
+        parts = daily_partials(written).hint("rebalance", *MONTH_KEYS)
+        parts.write.partitionBy(*MONTH_KEYS).parquet(f"{self.root}/daily_partials/load={load}")
         folders = storage.matching(self.spark, f"{self._load_path(load)}/year=*/month=*")
         months = [[int(part.partition("=")[2]) for part in folder.split("/")[-2:]] for folder in folders]
         return self.spark.createDataFrame([(load, *month) for month in months], "load string, year int, month int")
@@ -172,6 +184,20 @@ class SensorTables:
         daily.write.mode("overwrite").parquet(self._path(DAILY_TABLE, version))
         self._enter_version(DAILY_TABLE, version)
 
+    # Workbooks
+
+    def taken_in(self) -> DataFrame:
+        """The workbooks that the stored months were last compared with."""
+        version = self._version(FILE_TABLE)
+        if not version:
+            return self.spark.createDataFrame([], TAKEN_IN)
+        return self.spark.read.schema(TAKEN_IN).parquet(self._path(FILE_TABLE, version))
+
+    def replace_taken_in(self, files: DataFrame) -> None:
+        version = self._version(FILE_TABLE) + 1
+        files.write.mode("overwrite").parquet(self._path(FILE_TABLE, version))
+        self._enter_version(FILE_TABLE, version)
+
     # Import reports
 
     def record_import(self, summary: DataFrame, rejects: DataFrame) -> int:

@@ -22,7 +22,7 @@ def watch_folder(
     """Load new workbooks batch by batch; without an ``interval``, all that are there now.
 
     The checkpoint remembers paths: a corrected workbook under its old name is not read
-    again, use a replacing import for that. Only ``dedupe`` is accepted: it stores the same
+    again, ``imports.import_changed`` takes it in. Only ``dedupe`` is accepted: it stores the same
     samples however the workbooks are spread over batches, also when a batch is repeated
     after a failure. Of samples that repeat, the workbook that was there first keeps its own.
     The other modes would double, refuse or overwrite what an earlier batch of the same month

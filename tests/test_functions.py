@@ -214,6 +214,18 @@ def test_daily_collisions(random_readings, random_rows):
         daily.daily_statistics(random_readings, "none")
 
 
+@pytest.mark.parametrize("collision", ["last_file", "merge"])
+def test_partials_give_the_statistics_of_all_rows(random_readings, collision):
+    """Three loads that share dates and file months."""
+    loads = [random_readings.where(F.abs(F.hash("id")) % 3 == i) for i in range(3)]
+    parts = [daily.daily_partials(load) for load in loads]
+    found = daily.statistics_of_partials(parts[0].unionByName(parts[1]).unionByName(parts[2]), collision)
+    whole = daily.daily_statistics(random_readings, collision)
+    assert found.schema == whole.schema
+    assert found.orderBy("date").collect() == whole.orderBy("date").collect()
+    assert parts[0].join(parts[1], ["date", "year", "month"]).count()
+
+
 def test_upsert_keeps_and_overwrites(spark):
     def day(d, month, temperature):
         return (1, 2024, month, datetime(2024, 1, d), temperature, *[None] * 4)

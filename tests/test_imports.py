@@ -8,6 +8,7 @@ from pathlib import Path
 import pytest
 from xlsx_files import write_logger
 
+from barograph.operators import daily
 from barograph.plans import imports
 from barograph.schema import CHANNELS, DAILY, READINGS
 from barograph.sources.tables import SensorTables
@@ -263,6 +264,87 @@ def test_partial_refresh_equals_full_refresh(spark, tables, folder):
     assert collision["record_count"] == 21
 
 
+def test_refresh_reads_no_readings(tables, folder):
+    """Statistics come from the partials of current loads, also where months are appended to, replaced or cleared."""
+    imports.import_all(tables, str(folder))
+    imports.import_selected(tables, str(folder), [1], on_existing="append")
+    write_logger(folder, "LOGGER RAWDATA_2508.xlsx", samples(datetime(2025, 7, 2, 3), 40, base=7.0))
+    imports.import_selected(tables, str(folder), [2], on_existing="replace")
+    for collision in ("last_file", "merge"):
+        found = daily.statistics_of_partials(tables.daily_partials(), collision).orderBy("date").collect()
+        assert found == daily.daily_statistics(tables.readings(), collision).orderBy("date").collect()
+    for path in (Path(tables.root) / "readings").rglob("part-*"):
+        path.write_bytes(b"not to be read")
+    imports.refresh_daily(tables)
+    assert tables.daily_statistics().where("date = '2025-07-01'").first()["record_count"] == 44
+    assert tables.daily_statistics().where("date = '2025-08-01'").isEmpty()
+    tables.clear()
+    assert tables.daily_partials().isEmpty()
+
+
+def test_corrected_workbooks(tables, folder):
+    """What changed in place is taken in once; what is untouched, or only touched, gives no load."""
+
+    def loads():
+        return len(list((Path(tables.root) / "readings").glob("load=*")))
+
+    def names(summary):
+        return {r["file"].rsplit("/", 1)[1]: r["inserted"] for r in summary.collect()}
+
+    july, august = "LOGGER RAWDATA_2507.xlsx", "LOGGER RAWDATA_2508.xlsx"
+    assert names(imports.import_changed(tables, str(folder))) == {july: 28, august: 20}
+    assert imports.import_changed(tables, str(folder)) is None and loads() == 1
+    ids = sorted(r["id"] for r in tables.readings().where("month = 7").collect())
+
+    os.utime(folder / july, (2e9, 2e9))
+    assert imports.import_changed(tables, str(folder)) is None and loads() == 1
+    assert tables.taken_in().where("modified > '2033-01-01'").count() == 1
+
+    write_logger(folder, august, samples(datetime(2025, 8, 1), 20, base=9.0))
+    os.utime(folder / august, (2e9 + 5, 2e9 + 5))
+    assert names(imports.import_changed(tables, str(folder))) == {august: 20}
+    assert loads() == 2 and counts(tables) == {(2025, 7): 28, (2025, 8): 20}
+    assert tables.readings().where("month = 8").agg({"channel5_device_temp": "max"}).first()[0] == Decimal("9.00")
+    assert tables.daily_statistics().where("date = '2025-08-01'").first()["avg_device_temp"] == Decimal("9.00")
+    assert sorted(r["id"] for r in tables.readings().where("month = 7").collect()) == ids
+
+    # A second workbook of a month, later gone again; a broken one and one without a month.
+    more = "LOGGER RAWDATA_2508_more.xlsx"
+    write_logger(folder, more, samples(datetime(2025, 8, 5), 7))
+    assert names(imports.import_changed(tables, str(folder))) == {august: 20, more: 7}
+    (folder / more).unlink()
+    (folder / "LOGGER RAWDATA_2506.xlsx").write_bytes(b"broken")
+    (folder / "LOGGER RAWDATA_25x7.xlsx").write_bytes(b"no month")
+    summary = {r["file"].rsplit("_", 1)[1]: r for r in imports.import_changed(tables, str(folder)).collect()}
+    assert set(summary) == {"2506.xlsx", "2508.xlsx"} and summary["2506.xlsx"]["problem"].startswith("BadZipFile")
+    assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
+
+    # A month keeps its readings where its only workbook is gone.
+    (folder / july).unlink()
+    assert imports.import_changed(tables, str(folder)) is None
+    assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
+
+
+def test_an_import_of_changes_that_breaks_off(tables, folder, monkeypatch):
+    imports.import_changed(tables, str(folder))
+    before = tables.readings().orderBy("id").collect()
+    write_logger(folder, "LOGGER RAWDATA_2508.xlsx", samples(datetime(2025, 8, 1), 3, base=1.0))
+
+    def fail(*_):
+        raise RuntimeError("disk full")
+
+    for step in ("_write_months", "replace_taken_in"):
+        with monkeypatch.context() as patch:
+            patch.setattr(SensorTables, step, fail)
+            with pytest.raises(RuntimeError):
+                imports.import_changed(tables, str(folder))
+        if step == "_write_months":
+            assert tables.readings().orderBy("id").collect() == before
+    assert imports.import_changed(tables, str(folder)).first()["inserted"] == 3
+    assert counts(tables) == {(2025, 7): 28, (2025, 8): 3}
+    assert imports.import_changed(tables, str(folder)) is None
+
+
 def test_updated_at_moves_only_on_change(tables, folder):
     imports.import_all(tables, str(folder), refresh_stats=True)
     first = {r["date"]: r for r in tables.daily_statistics().collect()}
