@@ -32,6 +32,7 @@ class SensorTables:
         self.spark = spark
         self.root = root.rstrip("/")
         self._known: tuple[int, dict[str, int]] = (0, {})
+        self._single: tuple[int, str | None] = (0, None)
 
     # What is current
 
@@ -54,6 +55,17 @@ class SensorTables:
         """
         return self._state().where(F.col("name") == LOADED).select(*LOAD_KEYS)
 
+    def _only_load(self) -> str | None:
+        """The one load that is current, as after a rebuild, or None; read once per state.
+
+        All its months count then: a month is taken from a load only by a later load that holds it and is current.
+        """
+        number = self._state_number()
+        if self._single[0] != number:
+            loads = self._current().select("load").distinct().limit(2).collect()
+            self._single = (number, loads[0]["load"] if len(loads) == 1 else None)
+        return self._single[1]
+
     def _counters(self) -> dict[str, int]:
         """The counters by name; read once per state."""
         number = self._state_number()
@@ -95,9 +107,12 @@ class SensorTables:
         return f"{self.root}/readings/load={load}"
 
     def _of_loads(self, table: str, schema: T.StructType) -> DataFrame:
-        """The rows of the current loads and months."""
+        """The rows of the current loads and months; where one load is all, that load's folder, without a join."""
         if not storage.matching(self.spark, f"{self.root}/{table}"):
             return self.spark.createDataFrame([], schema)
+        only = self._only_load()
+        if only is not None:
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{table}/load={only}")
         stored = T.StructType([*schema, T.StructField("load", T.StringType())])
         rows = self.spark.read.schema(stored).parquet(f"{self.root}/{table}")
         return rows.join(self._current(), LOAD_KEYS).select(schema.names)
@@ -115,7 +130,8 @@ class SensorTables:
         return [(r["year"], r["month"]) for r in found]
 
     def month_frame(self) -> DataFrame:
-        return self._current().select(*MONTH_KEYS).distinct()
+        """``months`` as a frame of values, which plans hold without reading the state again."""
+        return self.spark.createDataFrame(self.months(), "year int, month int")
 
     def reserve_ids(self, count: int) -> int:
         """The id before the first of `count` new ones; a failed load leaves a gap."""
