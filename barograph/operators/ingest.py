@@ -21,6 +21,8 @@ BLANK_TIME = "blank time"
 BAD_TIME = "time not readable"
 BAD_CHANNEL = "channel not a number in range"
 
+DEEP_FILES = 16
+
 POSITIONS = [f"ch{i}_pos" for i in range(1, len(CHANNELS) + 1)]
 
 
@@ -89,6 +91,21 @@ CASE kind
 END AS role"""
 
 
+def down_to_unit_rows(raw_rows: DataFrame, tops: DataFrame) -> DataFrame:
+    """Rows down to where unit rows lie: the scan passes over nearly all samples, and their cells.
+
+    The ``DEEP_FILES`` files with the lowest unit rows have a bound of their own, so a worksheet with a long
+    preamble opens no samples of others; the next lowest one bounds all other files.
+    """
+    row, file = F.col("sheet_row"), F.col("file")
+    by_depth = tops.where(F.col("unit_row").isNotNull()).orderBy(F.desc("unit_row"), "file")
+    deep = by_depth.select("file", "unit_row").limit(DEEP_FILES + 1).collect()
+    near = row <= (deep[-1]["unit_row"] if deep else -1)
+    for d in deep[:-1]:
+        near = near | ((file == d["file"]) & (row == d["unit_row"]))
+    return raw_rows.where(near)
+
+
 def header_roles(raw_rows: DataFrame, tops: DataFrame) -> DataFrame:
     """Zero-based positions of the time column and of channels 1 to 5 per file.
 
@@ -97,10 +114,7 @@ def header_roles(raw_rows: DataFrame, tops: DataFrame) -> DataFrame:
     passes over `.1` repeats. Channel 5: the last column that is a repeated temperature,
     or a further one after channel 1.
     """
-    # No unit row lies below the lowest one of all files: with that bound the scan passes over
-    # nearly all samples, and their cells, before the join.
-    lowest = tops.agg(F.max("unit_row")).scalar()
-    unit_rows = raw_rows.where(F.col("sheet_row") <= lowest).join(
+    unit_rows = down_to_unit_rows(raw_rows, tops).join(
         tops.select("file", F.col("unit_row").alias("sheet_row")), ["file", "sheet_row"]
     )
     # The outer form keeps Catalyst from inferring a filter on the names, which it would push

@@ -49,20 +49,24 @@ def first_files(files: DataFrame) -> DataFrame:
     return files.groupBy(*MONTH_KEYS).agg(F.min("file").alias("file"))
 
 
-def in_new_samples(loaded: DataFrame, incoming: DataFrame, order: list[str]) -> DataFrame:
+def in_new_samples(loaded: DataFrame, incoming: DataFrame, order: list[str], buckets: int | None = None) -> DataFrame:
     """Incoming rows whose (year, month, record_time) is new, the first of each in `order`.
 
     Repeats are dropped before the shuffle on both sides: the row number limit keeps one
     row per key and map task, and the loaded keys are made distinct, so that no key is
     hot by the time the join sees it. Of the loaded table only the incoming months are
-    read.
+    read. Where ``loaded`` is stored in ``buckets`` by key, the first of each key goes to
+    those buckets, and the loaded rows are not shuffled.
     """
     by_key = Window.partitionBy(*SAMPLE_KEYS).orderBy(*order)
     first = incoming.withColumn("copy", F.row_number().over(by_key)).where(F.col("copy") == 1).drop("copy")
-    concerned = loaded.join(month_list(incoming), MONTH_KEYS, "left_semi")
-    return first.join(concerned.select(*SAMPLE_KEYS).distinct(), SAMPLE_KEYS, "left_anti").select(
-        *incoming.columns
-    )
+    concerned = loaded.join(month_list(incoming), MONTH_KEYS, "left_semi").select(*SAMPLE_KEYS).distinct()
+    if not buckets:
+        return first.join(concerned, SAMPLE_KEYS, "left_anti").select(*incoming.columns)
+    # An anti join would be moved below the repartition, and then be shuffled on both sides.
+    known = concerned.withColumn("known", F.lit(True))
+    placed = first.repartition(buckets, *SAMPLE_KEYS).join(known, SAMPLE_KEYS, "left")
+    return placed.where(F.col("known").isNull()).select(*incoming.columns)
 
 
 def load_append(loaded: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barograph.operators import daily, ingest, loading, quality, select_rows, summaries, views
+from barograph.plans import imports
 from barograph.session import WorkArea
 from barograph.sources.events import (
     loaded_and_incoming,
@@ -18,6 +19,7 @@ from barograph.sources.events import (
     workbooks_from_readings,
 )
 from barograph.sources.filenames import file_year_month
+from barograph.sources.tables import SensorTables
 
 YEAR, MONTH = 2024, 1
 
@@ -172,6 +174,26 @@ def daily_of_loads(_: SparkSession, readings: DataFrame) -> DataFrame:
     return daily.statistics_of_partials(daily.daily_partials(loaded).unionByName(daily.daily_partials(incoming)))
 
 
+def stored(spark: SparkSession, *loads: DataFrame) -> SensorTables:
+    """Tables that hold the given readings, a load each, for as long as the driver runs."""
+    tables = SensorTables(spark, f"{WorkArea(spark).path}/tables")
+    for load in loads:
+        tables.append_readings(load)
+    return tables
+
+
+def dedupe_stored(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    """``load_dedupe`` against stored tables: the loaded side is read by its bucketed keys."""
+    loaded, incoming = loaded_and_incoming(readings)
+    keys, buckets = stored(spark, loaded).sample_keys()
+    return loaded.unionByName(loading.in_new_samples(keys, incoming, ["id"], buckets))
+
+
+def latest_stored(spark: SparkSession, readings: DataFrame) -> DataFrame:
+    """The latest rows of two loads, read from the end."""
+    return imports.latest_rows(stored(spark, *loaded_and_incoming(readings))).select(readings.columns)
+
+
 def with_load(mode) -> Callable[[SparkSession, DataFrame], DataFrame]:
     return lambda _, readings: mode(*loaded_and_incoming(readings))
 
@@ -190,6 +212,8 @@ ON_READINGS: dict[str, Callable[[SparkSession, DataFrame], DataFrame]] = {
     "load_append": with_load(loading.load_append),
     "load_skip_existing": with_load(loading.load_skip_existing),
     "load_dedupe": with_load(lambda loaded, incoming: loading.load_dedupe(loaded, incoming, ["id"])),
+    "load_dedupe_stored": dedupe_stored,
+    "latest_rows_stored": latest_stored,
     "load_replace_month": with_load(loading.load_replace_month),
     "file_year_month": names,
     "file_status": file_status,

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barograph.operators import daily, ingest, loading
+from barograph.operators import daily, ingest, loading, select_rows
 from barograph.schema import MONTH_KEYS
 from barograph.session import WorkArea, work_area
 from barograph.sources.filenames import month_in_name
@@ -66,11 +66,12 @@ def admit(
     incoming = months_in(layouts.where(F.col("problem").isNull()))
     if mode == "skip_existing":
         return only_months(samples, set(incoming) - set(tables.months()))
-    concerned = only_months(tables.readings(), incoming)
+    keys, buckets = tables.sample_keys()
+    concerned = only_months(keys, incoming)
     order = ["file", "sheet_row"]
     if arrivals is not None:
         samples, order = samples.join(area.stage(arrivals, "arrivals"), "file"), ["arrived", *order]
-    return area.stage(loading.in_new_samples(concerned, samples, order).drop("arrived"), "admitted")
+    return area.stage(loading.in_new_samples(concerned, samples, order, buckets).drop("arrived"), "admitted")
 
 
 def load_raw_rows(
@@ -150,6 +151,28 @@ def refresh_daily(tables: SensorTables, first_date=None, last_date=None, collisi
     tables.replace_daily(daily.upsert_daily(tables.daily_statistics(), fresh))
 
 
+def latest_readings(tables: SensorTables, limit: int = 10) -> DataFrame:
+    """The readings of the last dates that hold ``limit`` rows between them, whole; the latest ``limit`` are among them.
+
+    The partials of the loads tell how many rows each date and file month has, so no other month is opened and, files
+    being sorted by time, little of those months. A table that holds fewer rows is read whole, as are rows without a time. One
+    task sums the rows of dates, of which a calendar has few.
+    """
+    per_date = tables.daily_partials().groupBy("date").agg(F.sum("record_count").alias("rows"))
+    later = Window.orderBy(F.desc_nulls_last("date")).rowsBetween(Window.unboundedPreceding, -1)
+    needed = per_date.withColumn("later", F.coalesce(F.sum("rows").over(later), F.lit(0))).where(F.col("later") < limit)
+    first, rows, undated = needed.agg(F.min("date"), F.sum("rows"), F.count_if(F.col("date").isNull())).first()
+    if undated or (rows or 0) < limit:
+        return tables.readings()
+    months = months_in(tables.daily_partials().where(F.col("date") >= F.lit(first)))
+    return only_months(tables.readings(), months).where(F.col("record_time") >= F.lit(first).cast("timestamp_ntz"))
+
+
+def latest_rows(tables: SensorTables, limit: int = 10) -> DataFrame:
+    """``select_rows.latest_rows`` of the stored readings, read from the end."""
+    return select_rows.latest_rows(latest_readings(tables, limit), limit)
+
+
 def import_all(tables: SensorTables, folder: str, refresh_stats: bool = False) -> DataFrame:
     """Append every workbook of a folder."""
     tables.create()

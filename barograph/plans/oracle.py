@@ -310,6 +310,12 @@ BODIES = {
         FROM loaded UNION ALL
         SELECT DISTINCT i.* FROM incoming i ANTI JOIN loaded l USING (year, month, record_time)
         QUALIFY row_number() OVER (PARTITION BY i.year, i.month, i.record_time ORDER BY i.id) = 1)""",
+    "load_dedupe_stored": f"""SELECT {ROW} FROM (
+        FROM loaded UNION ALL
+        SELECT DISTINCT i.* FROM incoming i ANTI JOIN loaded l USING (year, month, record_time)
+        QUALIFY row_number() OVER (PARTITION BY i.year, i.month, i.record_time ORDER BY i.id) = 1)""",
+    "latest_rows_stored": f"""SELECT {ROW} FROM (FROM loaded UNION ALL FROM incoming)
+        ORDER BY record_time DESC, id DESC LIMIT 10""",
     "load_replace_month": f"SELECT {ROW} FROM (FROM loaded ANTI JOIN incoming USING (year, month) UNION ALL FROM incoming)",
     "file_year_month": f"SELECT id, file, year, month FROM ({NAMES})",
     "file_status": f"""SELECT DISTINCT file, year, month,

@@ -1,8 +1,8 @@
 """The stored tables: readings partitioned by load and file month, and daily statistics.
 
 Every load writes its readings to partitions of its own, and beside them what its daily statistics are put together from
-(`daily_partials`), which later refreshes read in place of the readings. Every rewrite of another table to a
-new version. What is current is a small Parquet table: a row per load and file month whose rows
+(`daily_partials`), which later refreshes read in place of the readings, and the keys of its samples, bucketed by key
+(`sample_keys`), which deduplication reads. Every rewrite of another table goes to a new version. What is current is a small Parquet table: a row per load and file month whose rows
 count, and a row per counter. It is written by Spark, whole, to a new folder for every change; the last
 folder that Spark has marked as complete (`_SUCCESS`) holds. A failure before that leaves the tables as they were. Readings are
 read by a join with the current loads and months, which prunes their partitions. One writer at a time is assumed.
@@ -10,12 +10,16 @@ read by a join with the current loads and months, which prunes their partitions.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barograph.operators.daily import daily_partials
-from barograph.schema import DAILY, MONTH_KEYS, PARTIALS, READINGS, TAKEN_IN, as_readings
+from barograph.schema import DAILY, MONTH_KEYS, PARTIALS, READINGS, SAMPLE_KEYS, TAKEN_IN, as_readings
 from barograph.sources import storage
 
 Month = tuple[int, int]
@@ -25,11 +29,15 @@ STATE = "load string, year int, month int, name string, number long"
 LOADED = "loaded"
 LOAD_KEYS = ["load", *MONTH_KEYS]
 LAST_ID, LAST_LOAD, DAILY_TABLE, FILE_TABLE = "last id", "last load", "daily_statistics", "taken_in"
+#: The first load that has its sample keys stored, and the number of their buckets.
+FIRST_KEYED, KEY_BUCKETS = "first load with sample keys", "buckets of sample keys"
 
 
 class SensorTables:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, key_buckets: int = 64):
+        """``key_buckets`` is what the sample keys are dealt to; the number that a table was begun with stays."""
         self.spark = spark
+        self._buckets = key_buckets
         self.root = root.rstrip("/")
         self._known: tuple[int, dict[str, int]] = (0, {})
         self._single: tuple[int, str | None] = (0, None)
@@ -163,13 +171,18 @@ class SensorTables:
         The number is taken before the rows are written, so what a failed load leaves behind
         is never written to again.
         """
-        number = self._counters().get(LAST_LOAD, 0) + 1
-        self._enter({LAST_LOAD: number})
+        known = self._counters()
+        number = known.get(LAST_LOAD, 0) + 1
+        keyed = {FIRST_KEYED: known.get(FIRST_KEYED, number), KEY_BUCKETS: known.get(KEY_BUCKETS, self._buckets)}
+        self._enter({LAST_LOAD: number, **keyed})
         load = f"{number:06d}"
         self._write_months(readings, self._load_path(load))
         written = self.spark.read.schema(READINGS).parquet(self._load_path(load))
         parts = daily_partials(written).hint("rebalance", *MONTH_KEYS)
         parts.write.partitionBy(*MONTH_KEYS).parquet(f"{self.root}/daily_partials/load={load}")
+        keys = written.select(F.lit(load).alias("load"), *SAMPLE_KEYS).distinct()
+        with self._key_table() as name:
+            keys.repartition(keyed[KEY_BUCKETS], *SAMPLE_KEYS).write.insertInto(name)
         folders = storage.matching(self.spark, f"{self._load_path(load)}/year=*/month=*")
         months = [[int(part.partition("=")[2]) for part in folder.split("/")[-2:]] for folder in folders]
         return self.spark.createDataFrame([(load, *month) for month in months], "load string, year int, month int")
@@ -190,6 +203,38 @@ class SensorTables:
             .parquet(path)
         )
 
+    # Sample keys
+
+    @contextmanager
+    def _key_table(self) -> Iterator[str]:
+        """A name under which the catalogue knows the sample keys, for as long as it is needed: only named tables can have
+        buckets. The files, beside the readings, stay; the session must be allowed to create tables."""
+        name = f"barograph_keys_{uuid.uuid4().hex}"
+        keys, place = ", ".join(SAMPLE_KEYS), f"{self.root}/sample_keys".replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE {name} (load STRING, year INT, month INT, record_time TIMESTAMP_NTZ) USING parquet "
+            f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self._counters()[KEY_BUCKETS]} BUCKETS LOCATION '{place}'"
+        )
+        try:
+            yield name
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")
+
+    def sample_keys(self) -> tuple[DataFrame, int | None]:
+        """The keys of the current readings and the number of buckets that they are dealt to.
+
+        A key can stand there once per load. Tables with current loads that were stored before there were keys
+        give those of the readings themselves, which are not bucketed.
+        """
+        first = self._counters().get(FIRST_KEYED)
+        oldest = self._current().agg(F.min(F.col("load").cast("long"))).first()[0]
+        if first is None or (oldest is not None and oldest < first):
+            return self.readings().select(*SAMPLE_KEYS), None
+        with self._key_table() as name:
+            stored = self.spark.table(name)
+            stored.schema  # noqa: B018  the plan holds the files from here on
+        return stored.join(self._current(), LOAD_KEYS).select(*SAMPLE_KEYS), self._counters()[KEY_BUCKETS]
+
     # Daily statistics
 
     def daily_statistics(self) -> DataFrame:

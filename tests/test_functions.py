@@ -16,7 +16,7 @@ from barograph.operators import daily, loading, quality, select_rows, summaries
 from barograph.operators.prefix import prefix_sums
 from barograph.schema import CHANNELS, READINGS, SAMPLE_KEYS, TEMPERATURE
 from barograph.session import WorkArea
-from barograph.sources.exports import write_csv
+from barograph.sources.exports import write_csv, write_csv_parts
 
 
 def exact(value, places):
@@ -256,3 +256,22 @@ def test_csv_export(spark, random_readings, tmp_path):
     assert len(lines) == 1 + result.count()
     times = [line.split(",")[2] for line in lines[1:]]
     assert times == sorted(times)
+
+
+def test_csv_in_parts_is_the_file_of_one_task(spark, random_readings, tmp_path):
+    odd = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, "a,\n\"b\"").otherwise("")
+    result = random_readings.select("id", "record_time", TEMPERATURE, odd.alias("odd, name"))
+    manifest = write_csv_parts(result, str(tmp_path / "parts"), ["record_time", "id"], 5).orderBy("part").collect()
+    write_csv(result.orderBy("record_time", "id"), str(tmp_path / "one"), single_file=True)
+    parts = sorted((tmp_path / "parts").glob("part-*"))
+    (one,) = (tmp_path / "one").glob("part-*")
+    assert b"".join(p.read_bytes() for p in parts) == one.read_bytes()
+    assert [r["part"] for r in manifest] == [p.name for p in parts] and len(parts) == 6
+    ids = [int(r["id"]) for r in result.orderBy("record_time", "id").collect()]
+    for row, path in list(zip(manifest, parts, strict=True))[1:]:
+        written = spark.read.option("multiLine", True).csv(str(path)).collect()
+        assert [int(r[0]) for r in written] == ids[row["rows_before"] :][: row["rows"]]
+    assert sum(r["rows"] for r in manifest) == len(ids) and manifest[0]["rows"] == 0
+    empty = write_csv_parts(result.limit(0), str(tmp_path / "none"), ["id"], 3).collect()
+    assert [(r["rows"], r["rows_before"]) for r in empty] == [(0, 0)]
+    assert b"".join(p.read_bytes() for p in (tmp_path / "none").glob("part-*")).startswith(b"id,record_time")

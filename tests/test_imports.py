@@ -1,17 +1,19 @@
 """Imports from workbooks into the stored tables, end to end."""
 
 import os
+import re
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from xlsx_files import write_logger
 
-from barograph.operators import daily
+from barograph.operators import daily, loading
 from barograph.plans import imports
 from barograph.schema import CHANNELS, DAILY, READINGS
-from barograph.sources.tables import SensorTables
+from barograph.sources.tables import FIRST_KEYED, LAST_LOAD, SensorTables
 from barograph.sources.workbooks import scan_workbooks
 from barograph.streaming.watch import watch_folder
 
@@ -41,7 +43,7 @@ def folder(tmp_path):
 
 @pytest.fixture
 def tables(spark, tmp_path):
-    return SensorTables(spark, str(tmp_path / "tables"))
+    return SensorTables(spark, str(tmp_path / "tables"), key_buckets=4)
 
 
 def counts(tables):
@@ -207,6 +209,61 @@ def test_dedupe_is_idempotent(tables, folder):
     assert kept[0] == Decimal("20.00") and kept[22] == Decimal("30.00")
 
 
+def test_dedupe_reads_keys_of_current_loads(spark, folder, tmp_path):
+    """The loaded side is neither read whole nor shuffled; replaced, cleared and earlier loads are no keys."""
+    tables = SensorTables(spark, str(tmp_path / "it's"), key_buckets=5)
+    imports.import_all(tables, str(folder))
+    keys, buckets = tables.sample_keys()
+    assert (keys.count(), keys.distinct().count(), buckets) == (48, 48, 5)
+    write_logger(folder, "LOGGER RAWDATA_2508.xlsx", samples(datetime(2025, 8, 1), 3, base=1.0))
+    imports.import_selected(tables, str(folder), [2], on_existing="replace")
+    assert tables.sample_keys()[0].count() == 31
+
+    # Of the samples, only those that arrive are shuffled, also by a session with more partitions than buckets.
+    arriving = tables.readings().withColumn("id", F.col("id") + 1000)
+    keys, buckets = tables.sample_keys()
+    new = loading.in_new_samples(keys, arriving, ["id"], buckets)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "20")
+    try:
+        text = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    left, right = text.split("SelectedBucketsCount: 5 out of 5")[0].split("Scan parquet", 1)
+    by_key = re.findall(r"Exchange hashpartitioning\(year#\d+, month#\d+, record_time#\d+, (\d+)\)", left + right)
+    assert "SortMergeJoin" in text and sorted(by_key) == ["20", "5"]
+    assert new.isEmpty()
+
+    write_logger(folder, "LOGGER RAWDATA_2508.xlsx", samples(datetime(2025, 8, 1), 20))
+    imports.load_raw_rows(tables, scan_workbooks(spark, str(folder)), "dedupe")
+    assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
+    again = SensorTables(spark, tables.root, key_buckets=9)
+    assert again.sample_keys()[1] == 5 and again.sample_keys()[0].count() == 48
+    tables.clear()
+    assert tables.sample_keys()[0].isEmpty()
+    imports.load_raw_rows(tables, scan_workbooks(spark, str(folder)), "dedupe")
+    assert counts(tables) == {(2025, 7): 28, (2025, 8): 20}
+    # A table from before there were keys gives those of its readings.
+    tables._enter({FIRST_KEYED: 1 + tables._counters()[LAST_LOAD]})
+    assert tables.sample_keys()[1] is None and tables.sample_keys()[0].count() == 48
+
+
+def test_latest_rows_open_the_last_months_only(tables, folder):
+    assert imports.latest_rows(tables).isEmpty()
+    imports.import_all(tables, str(folder))
+    write_logger(folder, "LOGGER RAWDATA_2509.xlsx", samples(datetime(2025, 9, 1), 30))
+    imports.import_new(tables, str(folder))
+    everything = tables.readings().orderBy(F.desc("record_time"), F.desc("id")).collect()
+    for limit in (1, 6, 7, 30, 31, 45, 78, 79, 500):
+        assert imports.latest_rows(tables, limit).collect() == everything[:limit]
+    assert imports.latest_readings(tables, 6).count() == 6 and imports.latest_readings(tables, 7).count() == 30
+    for path in (Path(tables.root) / "readings").rglob("month=[78]/part-*"):
+        path.write_bytes(b"not to be read")
+    assert imports.latest_rows(tables, 30).collect() == everything[:30]
+
+
 def test_replace_leaves_other_months_alone(tables, folder):
     imports.import_all(tables, str(folder))
     before = {r["id"]: r for r in tables.readings().where("month = 7").collect()}

@@ -61,6 +61,24 @@ def test_header_roles(spark):
     assert found == {case: positions for case, (_, positions) in HEADERS.items()}
 
 
+def test_long_preambles_leave_other_scans_alone(spark):
+    files = {f"f{i:02}": 5 for i in range(30)} | {"deep": 500, "deeper": 900}
+    raw = spark.createDataFrame(
+        [
+            (f, n, c, [c, "Time", "degC"])
+            for f, unit in files.items()
+            for n in range(1000)
+            for c in ["Data" if n == unit - 2 else "NO." if n == unit else "x"]
+        ],
+        RAW_ROWS,
+    )
+    tops = ingest.sheet_tops(raw)
+    read = {r["file"]: r["count"] for r in ingest.down_to_unit_rows(raw, tops).groupBy("file").count().collect()}
+    assert read == {f: 7 if unit > 5 else 6 for f, unit in files.items()}
+    assert {tuple(r)[1:4] for r in ingest.header_roles(raw, tops).collect()} == {(1, 2, None)}
+    assert ingest.down_to_unit_rows(raw.where("lead = 'x'"), ingest.sheet_tops(raw.where("lead = 'x'"))).isEmpty()
+
+
 def test_marker_is_exact(spark):
     raw = raw_frame(spark, [("a", 0, ["data"]), ("b", 0, [" Data"]), ("c", 0, [None, "Data"]), ("d", 7, ["Data"])])
     assert [r["file"] for r in ingest.data_region(raw).collect()] == ["d"]

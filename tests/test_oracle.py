@@ -71,6 +71,7 @@ ORDERS = {
     "hourly_temperature": [("hour", False)],
     "temp_humidity_histogram": [("temp_range", False), ("humidity_range", False)],
     "latest_rows": [("record_time", True), ("id", True)],
+    "latest_rows_stored": [("record_time", True), ("id", True)],
     "records_by_month": [("year", False), ("month", False)],
     "verify_months": [("year", False), ("month", False)],
     "verify_months_ch5": [("year", False), ("month", False)],
