@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barograph.llm.words import flat, mix, spans, word_hashes
@@ -85,7 +85,7 @@ def item_words(items: DataFrame) -> DataFrame:
 
 
 def item_seeds(items: DataFrame, short: list[int]) -> DataFrame:
-    """item, place, seed and hash of every window of the items."""
+    """item, place, seed and hash of every window of the items, and the item's number of words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,10 +95,11 @@ def item_seeds(items: DataFrame, short: list[int]) -> DataFrame:
                     if k >= len(MASKS) and len(places) != len(words):
                         continue
                     h = seed_hashes(words, places)
-                    columns = [np.full(len(h), item), np.arange(len(h), dtype=np.int32), np.full(len(h), k, np.int32), h.view(np.int64)]
-                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["item", "item_place", "item_seed", "item_hash"])
+                    place, n = np.arange(len(h), dtype=np.int32), np.full(len(h), len(words), np.int32)
+                    columns = [np.full(len(h), item), place, np.full(len(h), k, np.int32), h.view(np.int64), n]
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["item", "item_place", "item_seed", "item_hash", "item_size"])
 
-    return items.select("item", "words").mapInArrow(rows, "item long, item_place int, item_seed int, item_hash long")
+    return items.select("item", "words").mapInArrow(rows, "item long, item_place int, item_seed int, item_hash long, item_size int")
 
 
 def hash_filter(item_hashes: DataFrame) -> bytes:
@@ -184,13 +185,34 @@ def best_overlap(document: np.ndarray, item: np.ndarray, shifts: list[int]) -> t
     return best
 
 
+def stretches() -> Column:
+    """at, shifts and words of the parts of a document that an item can lie along: a part for each alignment, or one for all where
+    that is shorter. Needs ``words`` of the document, ``shifts`` (alignments) and ``item_size``.
+    """
+    first = F.greatest(F.array_min("shifts"), F.lit(0))
+    last = F.least(F.size("words"), F.array_max("shifts") + F.col("item_size"))
+
+    def part(begin: Column, end: Column, shifts: Column) -> Column:
+        return F.struct(begin.alias("at"), shifts.alias("shifts"), F.slice("words", begin + 1, end - begin).alias("words"))
+
+    def along(shift: Column) -> Column:
+        return part(F.greatest(shift, F.lit(0)), F.least(F.size("words"), shift + F.col("item_size")), F.array(shift))
+
+    apart = F.size("shifts") * F.col("item_size") <= last - first
+    return F.when(apart, F.transform("shifts", along)).otherwise(F.array(part(first, last, F.col("shifts"))))
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep, found = [], []
         for i in range(batch.num_rows):
-            document = batch.column("words")[i].values.to_numpy()
             item = batch.column("item_words")[i].values.to_numpy()
-            start, length, equal = best_overlap(document, item, batch.column("shifts")[i].values.to_pylist())
+            start, length, equal = 0, 0, 0
+            for part in batch.column("parts")[i].values:
+                at, words = part["at"].as_py(), part["words"].values.to_numpy()
+                place, n, same = best_overlap(words, item, [shift - at for shift in part["shifts"].as_py()])
+                if n > length:
+                    start, length, equal = at + place, n, same
             if length >= max(LEAST, min(ENOUGH, int(np.ceil(SIMILARITY * len(item))))):
                 keep.append(i)
                 found.append((start, length, equal, len(item)))
@@ -211,11 +233,12 @@ def contaminated(spark: SparkSession, docs: DataFrame, items: DataFrame) -> Data
     hits = area.stage(hits, "hits")
     each = hits.select("_row", F.explode(F.arrays_zip("places", "seeds", "hashes")).alias("h")).select("_row", "h.*")
     met = each.join(hashes, (F.col("seeds") == F.col("item_seed")) & (F.col("hashes") == F.col("item_hash")))
-    pairs = met.select("_row", "item", (F.col("places") - F.col("item_place")).alias("shift")).distinct()
-    pairs = pairs.groupBy("_row", "item").agg(F.collect_list("shift").alias("shifts"))
-    rows = pairs.join(hits.select("_row", "doc_id", "words"), "_row").join(known.select("item", "item_id", F.col("words").alias("item_words")), "item")
+    pairs = met.select("_row", "item", (F.col("places") - F.col("item_place")).alias("shift"), "item_size").distinct()
+    pairs = pairs.groupBy("_row", "item", "item_size").agg(F.array_sort(F.collect_list("shift")).alias("shifts"))
+    parts = pairs.join(hits.select("_row", "doc_id", "words"), "_row").select("_row", "doc_id", "item", stretches().alias("parts"))
+    rows = parts.join(known.select("item", "item_id", F.col("words").alias("item_words")), "item")
     schema = "_row long, doc_id long, item_id long, start_word int, n_words int, n_equal int, item_words int"
-    found = rows.select("_row", "doc_id", "item_id", "words", "item_words", "shifts").mapInArrow(_verify, schema)
+    found = rows.select("_row", "doc_id", "item_id", "parts", "item_words").mapInArrow(_verify, schema)
     return found.drop("_row")
 
 

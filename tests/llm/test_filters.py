@@ -160,6 +160,28 @@ def leaks():
     return docs, items, due
 
 
+def test_stretches_of_words_give_the_overlap_of_the_document(spark):
+    rng = np.random.default_rng(9)
+    cases = []
+    for _ in range(300):
+        document, item = rng.integers(0, 3, int(rng.integers(1, 80))), rng.integers(0, 3, int(rng.integers(1, 20)))
+        shifts = sorted({int(s) for s in rng.integers(1 - len(item), len(document), int(rng.integers(1, 9)))})
+        cases.append((document.tolist(), shifts, item.tolist()))
+    cases.append((list(range(1000)), [500], list(range(500, 505))))
+    frame = spark.createDataFrame([(i, w, s, len(t)) for i, (w, s, t) in enumerate(cases)], "i int, words array<long>, shifts array<int>, item_size int")
+    parts = {r.i: r.parts for r in frame.select("i", decontaminate.stretches().alias("parts")).collect()}
+    assert len(parts[300]) == 1 and len(parts[300][0].words) == 5
+    assert any(len(p) > 1 for p in parts.values())
+    for i, (words, shifts, item) in enumerate(cases):
+        best = (0, 0, 0)
+        for part in parts[i]:
+            place, n, same = decontaminate.best_overlap(np.array(part.words), np.array(item), [s - part.at for s in part.shifts])
+            best = (part.at + place, n, same) if n > best[1] else best
+        assert best == decontaminate.best_overlap(np.array(words), np.array(item), shifts)
+        assert sum(len(p.words) for p in parts[i]) <= min(len(words), len(shifts) * len(item))
+
+
+
 def test_changed_passages_are_found(spark, leaks):
     docs, items, due = leaks
     found = decontaminate.contaminated(
