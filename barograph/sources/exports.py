@@ -24,7 +24,8 @@ def write_csv_parts(result: DataFrame, path: str, order: list[str | Column], par
     manifest is kept beside them as JSON in the folder ``_manifest``, which Spark passes over when it reads ``path``.
 
     Cases: rows that tie in ``order`` are in no fixed order, and rows alike in all its columns share a part, so it should end
-    with an id; no rows give the header alone; texts with line breaks, quotes or commas are quoted, and may span lines.
+    with an id; no rows give the header alone; texts with line breaks, quotes or commas are quoted, and may span lines; a
+    null in a result of one column is an empty line, which the manifest doesn't count.
     """
     spark = result.sparkSession
     lines = result.repartitionByRange(parts, *order).sortWithinPartitions(*order)
