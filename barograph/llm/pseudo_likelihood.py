@@ -39,6 +39,8 @@ REACH, WIDTH = 2, 16
 ROUNDS = 3
 _BATCH, _RATE = 8192, 0.15
 _CHUNK = 1 << 20
+#: Words that are scored in one product, and the number of which a product's columns are a multiple.
+_COLUMNS, _TILE = 1024, 32
 _SLICES = 16
 #: Text for each group of words, and the least number of groups.
 GROUP_BYTES, LEAST_GROUPS = 64 << 20, 64
@@ -118,13 +120,15 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]
 
 def neighbours(ids: np.ndarray, row: np.ndarray, own: np.ndarray | None = None) -> np.ndarray:
     """Ids of the words around each word, or around those numbered ``own``; ``IDS`` beyond the ends of its document."""
-    own = np.arange(len(ids)) if own is None else own
-    out = np.full((len(own), 2 * REACH), IDS, dtype=np.int64)
-    for j, gap in enumerate([g for g in range(-REACH, REACH + 1) if g]):
-        at = own + gap
-        there = (at >= 0) & (at < len(ids))
-        there[there] = row[at[there]] == row[own[there]]
-        out[there, j] = ids[at[there]]
+    out = np.empty((len(ids if own is None else own), 2 * REACH), dtype=np.int64)
+    if len(ids):
+        # All words end to end, with marks between documents.
+        place = np.arange(len(ids)) + REACH * (row - row[0] + 1)
+        marked = np.full(int(place[-1]) + 1 + REACH, IDS, dtype=np.int64)
+        marked[place] = ids
+        place = place if own is None else place[own]
+        for j, gap in enumerate([g for g in range(-REACH, REACH + 1) if g]):
+            out[:, j] = marked.take(place + gap)
     return out
 
 
@@ -135,10 +139,11 @@ def targets(row: np.ndarray, turn: int) -> np.ndarray:
 
 
 def _hidden(w: dict, near: np.ndarray) -> np.ndarray:
-    total = w["near"][0][near[:, 0]] + w["bias"]
+    total = w["near"][0].take(near[:, 0], axis=0)
+    total += w["bias"]
     for j in range(1, 2 * REACH):
-        total += w["near"][j][near[:, j]]
-    return np.tanh(total)
+        total += w["near"][j].take(near[:, j], axis=0)
+    return np.tanh(total, out=total)
 
 
 _ONES = np.ones(max(CLASSES, MEMBERS), np.float32)
@@ -158,27 +163,35 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """One logarithm of each row; changes ``x``. No value of a row may depend on other rows, so none is shifted by a maximum;
-    80 is where values are cut, far above those of trained weights."""
-    np.minimum(x, 80, out=x)
-    own = x[np.arange(len(x)), at]
-    return own - np.log(np.exp(x, out=x).sum(axis=1))
-
-
 def log_probabilities(w: dict, near: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Logarithm of the probability of each word's id, given its neighbours."""
+    """Logarithm of the probability of each word's id, given its neighbours.
+
+    Words of one class go together, some at a time, so that tables stay in the processor's cache: classes lie above the ids of
+    the class, a word is a column. No value of a column may depend on other columns, so none is shifted by a maximum; 80 is where
+    values are cut, far above those of trained weights.
+    """
     out = np.zeros(len(ids))
-    class_out, word_out = w["class_out"].T.astype(np.float64), w["word_out"].transpose(0, 2, 1).astype(np.float64)
-    for a in range(0, len(ids), 1 << 15):
-        order = a + np.argsort((ids[a : a + (1 << 15)] // MEMBERS).astype(np.int16), kind="stable")
-        # Products in double precision: in single precision their rounding depends on a word's place in the batch.
-        h, kind, member = _hidden(w, near[order]).astype(np.float64), ids[order] // MEMBERS, ids[order] % MEMBERS
-        p = _log_softmax_at((h @ class_out).astype(np.float32) + w["class_bias"], kind).astype(np.float64)
+    ends = np.concatenate([np.broadcast_to(w["class_out"], (CLASSES, CLASSES, WIDTH)), w["word_out"]], axis=1).astype(np.float64)
+    biases = np.concatenate([np.broadcast_to(w["class_bias"], (CLASSES, CLASSES)), w["word_bias"]], axis=1)[:, :, None]
+    for a in range(0, len(ids), 1 << 16):
+        order = a + np.argsort((ids[a : a + (1 << 16)] // MEMBERS).astype(np.int16), kind="stable")
+        # Products in double precision, and all of whole tiles: otherwise rounding depends on a word's place in the batch.
+        h, own = np.zeros((len(order) + _TILE, WIDTH)), ids.take(order)
+        h[: len(order)] = _hidden(w, near.take(order, axis=0))
+        kind, member = own // MEMBERS, CLASSES + own % MEMBERS
+        p = np.empty(len(order))
         cuts = np.searchsorted(kind, np.arange(CLASSES + 1))
-        for c in np.flatnonzero(np.diff(cuts)):
-            x = slice(cuts[c], cuts[c + 1])
-            p[x] += _log_softmax_at((h[x] @ word_out[c]).astype(np.float32) + w["word_bias"][c], member[x])
+        for c in np.flatnonzero(np.diff(cuts)).tolist():
+            for first in range(cuts[c], cuts[c + 1], _COLUMNS):
+                last = min(first + _COLUMNS, cuts[c + 1])
+                n = last - first
+                wide = -(-n // _TILE) * _TILE
+                x = (ends[c] @ h[first : first + wide].T).astype(np.float32)
+                x += biases[c]
+                np.minimum(x, 80, out=x)
+                own = x[c, :n].astype(np.float64) + x[member[first:last], np.arange(n)]
+                sums = np.exp(x, out=x).reshape(2, -1, wide).sum(axis=1)
+                p[first:last] = own - np.log(sums, out=sums).sum(axis=0)[:n]
         out[order] = p
     return out
 
@@ -187,7 +200,8 @@ def train_step(w: dict, squares: dict, near: np.ndarray, ids: np.ndarray) -> Non
     """One step of AdaGrad on the mean of the logarithms; changes the weights in place."""
     n = len(ids)
     order = np.argsort((ids // MEMBERS).astype(np.int16), kind="stable")
-    near, kind, member = near[order], ids[order] // MEMBERS, ids[order] % MEMBERS
+    near, ids = near.take(order, axis=0), ids.take(order)
+    kind, member = ids // MEMBERS, ids % MEMBERS
     h = _hidden(w, near)
     pull = _softmax(h @ w["class_out"].T + w["class_bias"])
     pull[np.arange(n), kind] -= 1
@@ -213,9 +227,11 @@ def train_step(w: dict, squares: dict, near: np.ndarray, ids: np.ndarray) -> Non
         own = own[order]
         first = np.flatnonzero(np.diff(own, prepend=-1))
         at = own[first]
-        g = np.add.reduceat(back[order], first, axis=0) / n
-        squares["near"][j][at] += g * g
-        w["near"][j][at] -= _RATE * g / np.sqrt(squares["near"][j][at] + 1e-10)
+        g = np.add.reduceat(back.take(order, axis=0), first, axis=0) / n
+        past = squares["near"][j].take(at, axis=0)
+        past += g * g
+        squares["near"][j][at] = past
+        w["near"][j][at] -= _RATE * g / np.sqrt(past + 1e-10)
 
 
 def word_counts(docs: DataFrame) -> DataFrame:

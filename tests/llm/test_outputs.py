@@ -1,6 +1,7 @@
 """Packing (op3), scores (op4), mixing (op9)."""
 
 import random
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -105,6 +106,26 @@ def test_gradients():
     assert np.exp(every).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_scoring_takes_small_steps():
+    """Tables of scoring stay small, and a word's value depends on no other word; a plain version gives the same."""
+    rng = np.random.default_rng(19)
+    near, ids = rng.integers(0, pl.IDS + 1, (1 << 17, 4)), np.minimum(rng.zipf(1.3, 1 << 17), pl.IDS) - 1
+    weights = pl.initial(np.bincount(ids, minlength=pl.IDS))
+    tracemalloc.start()
+    found = pl.log_probabilities(weights, near, ids)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 28e6
+    for a, b in [(0, 1), (5, 7), (100, 1131), (70_000, 131_000)]:
+        assert (pl.log_probabilities(weights, near[a:b], ids[a:b]) == found[a:b]).all()
+    for i in range(0, len(ids), 9000):
+        h = np.tanh(sum(weights["near"][j][near[i, j]].astype(float) for j in range(4)) + weights["bias"])
+        kind, member = divmod(ids[i], pl.MEMBERS)
+        classes = np.exp(weights["class_out"] @ h + weights["class_bias"])
+        members = np.exp(weights["word_out"][kind] @ h + weights["word_bias"][kind])
+        assert found[i] == pytest.approx(np.log(classes[kind] / classes.sum() * members[member] / members.sum()), abs=1e-5)
+
+
 def test_training_tells_order(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     plain, model = pl.fit(spark, docs, 0), pl.fit(spark, docs)
