@@ -102,7 +102,8 @@ def down_to_unit_rows(raw_rows: DataFrame, tops: DataFrame) -> DataFrame:
     deep = by_depth.select("file", "unit_row").limit(DEEP_FILES + 1).collect()
     near = row <= (deep[-1]["unit_row"] if deep else -1)
     for d in deep[:-1]:
-        near = near | ((file == d["file"]) & (row == d["unit_row"]))
+        # The row comes first: it rules out nearly all rows, and a name may be costly where the scan computes it.
+        near = near | ((row == d["unit_row"]) & (file == d["file"]))
     return raw_rows.where(near)
 
 

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from barograph.operators import ingest
 from barograph.schema import CHANNELS, RAW_ROWS
@@ -219,3 +220,12 @@ def test_short_rows_and_problem_files(spark):
     accepted = ingest.decode_samples(classified).collect()
     assert [r["file"] for r in accepted] == [good]
     assert [accepted[0][c] for c in CHANNELS] == [None] * 5
+
+
+def test_header_scan_names_no_samples(spark):
+    """The name of a sample row's file is not worked out; here that would fail."""
+    tops = spark.createDataFrame([(f"f{i}", 4 + i) for i in range(20)], "file string, unit_row long")
+    named = F.expr("concat('f', file_number + 0 * (1 div if(sheet_row > 30, 0, 1)))")
+    cells = spark.range(20_000).selectExpr("id % 20 AS file_number", "id div 20 AS sheet_row")
+    near = ingest.down_to_unit_rows(cells.select(named.alias("file"), "sheet_row"), tops)
+    assert {(r.file, r.sheet_row) for r in near.collect()} >= {(f"f{i}", 4 + i) for i in range(20)}
