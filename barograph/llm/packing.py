@@ -26,7 +26,8 @@ from barograph.llm.words import flat
 ROW = 2048
 #: Bytes of text per group, about two million tokens.
 GROUP_BYTES = 8 << 20
-_CHUNK = 8 << 20
+#: Bytes of text that a task encodes at once; its tables take some fifty times as much.
+_CHUNK = 1 << 20
 #: Bytes of distinct words that are encoded as one text.
 _TOGETHER = 1 << 19
 

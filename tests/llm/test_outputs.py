@@ -89,6 +89,35 @@ def test_best_fit():
         assert sorted(row - sum(lengths[i] for i in r) for r in got) == sorted(free)
 
 
+def test_encoding_takes_small_steps(spark):
+    """The tables that a task of token_pieces holds do not grow with the batch; the ids are those of single texts."""
+
+    class Held:
+        """Takes the function that a task would run."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, rows, _):
+            return rows
+
+    rng = np.random.default_rng(23)
+    words = np.array(["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(5000)])
+    texts = [" ".join(rng.choice(words, 1000)) for _ in range(1000)]
+    own = packing.encoder(packing.default_vocabulary())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    found = dict.fromkeys(range(1000), b"")
+    for out in packing.token_pieces(Held(), packing.default_vocabulary())(iter([batch])):
+        for r in out.to_pylist():
+            found[r["doc_id"]] += r["ids"]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for d in (0, 136, 137, 500, 999):
+        assert np.frombuffer(found[d], own.dtype).tolist() == [*own.bpe.encode_ordinary(texts[d]), own.end]
+    assert peak < 40e6
+
+
 # Scores
 
 
