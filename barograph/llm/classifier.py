@@ -26,7 +26,8 @@ from barograph.llm.words import flat, spans, word_hashes
 
 SAMPLE = 8000
 _STEPS, _RATE, _DECAY = 400, 0.05, 1e-4
-_CHUNK = 1 << 20
+#: Bytes of text whose features are counted at once; the tables of a step take some fifty times as much.
+_CHUNK = 1 << 18
 
 _SINGLE = b".,!?;:|%$&*#@-_'\"()/<>=+"
 _CLASSES = 32
@@ -85,7 +86,7 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def features(texts: pa.Array) -> Iterator[np.ndarray]:
-    """Features of the texts, some megabytes of text at a time."""
+    """Features of the texts, a quarter of a megabyte of text at a time."""
     data, offsets = flat(texts)
     at = 0
     while at < len(offsets) - 1:

@@ -49,15 +49,17 @@ def forest(links: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(list(map(pa.array, joined())), ["a", "b"])
 
 
-def components(area: WorkArea, links: DataFrame, name: str) -> DataFrame:
+def components(area: WorkArea, links: DataFrame, name: str, forests: bool = False) -> DataFrame:
     """node and component (smallest node reachable) for every node of ``links`` (a, b: long).
 
-    Each task first replaces its links by a forest. Then large-star and small-star rounds link every node to the
+    Each task first replaces its links by a forest, unless ``forests`` says that the Python step which finds
+    them has done so: a second Python step in one stage takes a second worker for every task. Then large-star and small-star rounds link every node to the
     smallest of its neighbours until no link changes. A round joins each link with one row per node. These rows are
     staged first: where they are few, the join is a broadcast of known size, and where they are many, a join of two plain
     shuffles, in which adaptive execution can split a node of many links.
     """
-    links = area.stage(links.select("a", "b").mapInArrow(forest, "a long, b long").filter("a <> b"), f"{name}-links-0")
+    links = links.select("a", "b") if forests else links.select("a", "b").mapInArrow(forest, "a long, b long")
+    links = area.stage(links.filter("a <> b"), f"{name}-links-0")
     step = 0
     while True:
         step += 1

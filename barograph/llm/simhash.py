@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barograph.llm.graph import components, roots
+from barograph.llm.graph import components, forest, roots
 from barograph.session import WorkArea
 
 SHINGLE, SEED, DISTANCE = 3, 42, 3
@@ -106,7 +106,7 @@ def near_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def links(area: WorkArea, prints: DataFrame, limit: int = GROUP_LIMIT) -> DataFrame:
-    """Links a–b that join the distinct fingerprints ``fp`` of ``prints`` as all pairs within the distance would."""
+    """Links a–b that join the distinct fingerprints ``fp`` of ``prints`` as all pairs within the distance would: a forest of each task."""
     # The table is small before each row becomes 64, so its tasks would be few and large.
     prints = prints.repartition(max(8, -(-prints.count() // PRINTS_PER_TASK)), "fp")
     high, low = "shiftrightunsigned(fp, 32)", "(fp & 4294967295L)"
@@ -122,7 +122,7 @@ def links(area: WorkArea, prints: DataFrame, limit: int = GROUP_LIMIT) -> DataFr
         plain = F.array(F.lit(0).cast("long"))
         grouped = marked.select("k1", F.explode(F.when(F.col("hot").isNull(), plain).otherwise(F.expr(f"array({', '.join(quarters)})"))).alias("k2"), "fp")
     grouped = grouped.select("k1", "k2", "fp").repartition("k1", "k2").sortWithinPartitions("k1", "k2")
-    return grouped.mapInArrow(near_pairs, "a long, b long")
+    return grouped.mapInArrow(lambda batches: forest(near_pairs(batches)), "a long, b long")
 
 
 def simhash_components(spark: SparkSession, docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
@@ -131,7 +131,7 @@ def simhash_components(spark: SparkSession, docs: DataFrame, carry: list[str] |
     own = [F.col(f"`{c}`").alias(f"_carry_{i}") for i, c in enumerate(carry or [])]
     prints = area.stage(docs.select("doc_id", fingerprints("text").alias("fp"), *own), "prints")
     distinct = area.stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct")
-    nodes = components(area, links(area, distinct), "simhash")
+    nodes = components(area, links(area, distinct), "simhash", forests=True)
     labels = distinct.join(nodes, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("component", "fp").alias("c"))
     labels = area.stage(labels, "labels")
     least = labels.groupBy("c").agg(F.min("first_id").alias("component_id"))

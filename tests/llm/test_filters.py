@@ -2,11 +2,13 @@
 
 import random
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import SF_DIR, counted, leaked
 from brute import benchmark_words as words_of
@@ -213,9 +215,61 @@ def test_decontamination_of_odd_documents(spark, odd_docs, no_docs):
     assert not decontaminate.contaminated(spark, odd_docs, table.limit(0)).collect()
 
 
+def test_search_for_seeds_takes_little_memory(spark):
+    """What a task of document_hits holds does not grow with the batch, nor by the unpacked filter; the hits are those of single texts."""
+
+    class Held:
+        """Takes the function that a task would run."""
+
+        sparkSession = spark
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, rows, _):
+            return rows
+
+    rng = np.random.default_rng(29)
+    words = np.array(["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(5000)])
+    texts = [" ".join(rng.choice(words, 1000)).title() for _ in range(1000)] + [None, ""]
+    texts[137] = texts[136] = "É " + texts[137]
+    item = re.sub("[^a-z ]", "", texts[137].lower()).split()[100:130]
+    hashes = np.concatenate([decontaminate.seed_hashes(next(decontaminate.words_of(pa.array([" ".join(item)])))[1], p) for p in decontaminate.seeds([])])
+    bits = np.zeros(decontaminate.FILTER_BITS, bool)
+    for at in decontaminate._bits(hashes):
+        bits[at] = True
+    rows = decontaminate.document_hits(Held(), np.packbits(bits, bitorder="little").tobytes(), [])
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(texts)], ["doc_id", "text"])
+    del bits
+    tracemalloc.start()
+    found = [r for out in rows(iter([batch])) for r in out.to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [r for i in range(len(texts)) for out in rows(iter([batch.slice(i, 1)])) for r in out.to_pylist()]
+    assert {136, 137} <= {r["doc_id"] for r in found} and all(set(hashes.view(np.int64)) <= set(r["hashes"]) for r in found if r["doc_id"] in (136, 137))
+    assert peak < 40e6
+
+
 # Classifier
 
 
+def test_features_take_small_steps():
+    """Their tables do not grow with the batch, and each text has the features that it has alone."""
+    rng = np.random.default_rng(31)
+    words = np.array(["".join(chr(97 + c) for c in rng.integers(0, 26, 6)) for _ in range(5000)])
+    texts = pa.array([" ".join(rng.choice(words, 1000)) + ".\n" for _ in range(600)])
+    tracemalloc.start()
+    for _ in classifier.features(texts):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    every = np.concatenate(list(classifier.features(texts)))
+    for i in (0, 36, 37, 599):
+        assert (every[i] == next(classifier.features(texts.slice(i, 1)))[0]).all()
+    assert peak < 25e6
+
+
 def test_weights_rank_pairs():
     rng = np.random.default_rng(10)
     x = rng.standard_normal((400, 12)).astype(np.float32)

@@ -55,6 +55,21 @@ def test_links_of_crowded_fingerprints(spark):
         assert {p: label.get(p, p) for p in signed} == {p: root(p) for p in signed}
 
 
+def test_no_stage_has_two_python_steps(spark, small_docs, monkeypatch):
+    """Each would take a worker of its own for every task, and idle workers keep their memory."""
+    plans, stage = {}, WorkArea.stage
+
+    def noted(area, df, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return stage(area, df, name)
+
+    monkeypatch.setattr(WorkArea, "stage", noted)
+    docs = spark.createDataFrame(list(small_docs)[:50], "doc_id long, text string")
+    own.simhash_components(spark, docs).collect()
+    steps = {name: plan.count("MapInArrow") + plan.count("ArrowEvalPython") for name, plan in plans.items()}
+    assert steps["prints"] == 1 and steps["simhash-links-0"] == 1 and max(steps.values()) == 1
+
+
 def test_components_of_long_chains_and_stars(spark):
     random.seed(2)
     names = random.sample(range(-(10**9), 10**9), 600)
