@@ -101,9 +101,11 @@ def held_out(doc_id: Column) -> Column:
 
 def _labelled_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        blocks = list(features(batch.column("text"))) or [np.zeros((0, N_FEATURES), np.float32)]
-        rows = pa.array([x.tobytes() for x in np.concatenate(blocks).astype(np.float16)], pa.binary())
-        yield pa.RecordBatch.from_arrays([rows, batch.column("quality")], ["features", "quality"])
+        at = 0
+        for block in features(batch.column("text")):
+            rows = pa.array([x.tobytes() for x in block.astype(np.float16)], pa.binary())
+            yield pa.RecordBatch.from_arrays([rows, batch.column("quality").slice(at, len(block))], ["features", "quality"])
+            at += len(block)
 
 
 def fit(x: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, float, float]:

@@ -270,6 +270,20 @@ def test_features_take_small_steps():
     assert peak < 25e6
 
 
+def test_features_of_labelled_texts_go_step_by_step():
+    """A batch of the sample is not held as a table of features; each text keeps its label."""
+    texts = [f"text {i} has {'many ' * (i % 9)}words" for i in range(8000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 3 for i in range(8000)], pa.int32())], ["text", "quality"])
+    tracemalloc.start()
+    rows = sum(out.num_rows for out in classifier._labelled_features(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    got = [r for out in classifier._labelled_features(iter([batch])) for r in out.to_pylist()]
+    every = np.concatenate(list(classifier.features(batch.column("text")))).astype(np.float16)
+    assert rows == 8000 and [(r["features"], r["quality"]) for r in got] == [(x.tobytes(), i % 3) for i, x in enumerate(every)]
+    assert peak < 40e6, peak
+
+
 def test_weights_rank_pairs():
     rng = np.random.default_rng(10)
     x = rng.standard_normal((400, 12)).astype(np.float32)
